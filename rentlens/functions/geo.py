@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +15,15 @@ MAJOR_AXIS = 6_378_137.0
 FLATTENING = 1 / 298.257223563
 MINOR_AXIS = MAJOR_AXIS * (1 - FLATTENING)
 
-# City-scale distances settle to well under a millimetre in four rounds.
-ROUNDS = 8
+# Each round shrinks the error by about the flattening, so six are ample
+# for any two points that are not nearly opposite on the globe.
+ROUNDS = 6
+
+
+def _let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """Evaluate `values` once and use them many times in `body`."""
+    bound = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
+    return F.get(F.transform(bound, body), F.lit(0))
 
 
 def geodesic_km(lat: Column, lon: Column, origin_lat: float, origin_lon: float) -> Column:
@@ -23,63 +33,84 @@ def geodesic_km(lat: Column, lon: Column, origin_lat: float, origin_lon: float)
     over a short literal array, so no row leaves the JVM. Null coordinates
     give null.
     """
-    u1 = F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(F.lit(origin_lat))))
-    u2 = F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(lat)))
-    delta = F.radians(lon) - F.radians(F.lit(origin_lon))
-
-    def state(lam: Column) -> dict[str, Column]:
-        across = F.cos(u2) * F.sin(lam)
-        along = F.cos(u1) * F.sin(u2) - F.sin(u1) * F.cos(u2) * F.cos(lam)
-        sin_sigma = F.sqrt(across * across + along * along)
-        cos_sigma = F.sin(u1) * F.sin(u2) + F.cos(u1) * F.cos(u2) * F.cos(lam)
-        sin_alpha = F.coalesce(
-            F.try_divide(F.cos(u1) * F.cos(u2) * F.sin(lam), sin_sigma), F.lit(0.0)
-        )
-        cos2_alpha = F.lit(1.0) - sin_alpha * sin_alpha
-        mid = F.coalesce(
-            cos_sigma - F.try_divide(F.lit(2.0) * F.sin(u1) * F.sin(u2), cos2_alpha),
-            F.lit(0.0),
-        )
-        return {
-            "sin_sigma": sin_sigma,
-            "cos_sigma": cos_sigma,
-            "sigma": F.atan2(sin_sigma, cos_sigma),
-            "sin_alpha": sin_alpha,
-            "cos2_alpha": cos2_alpha,
-            "mid": mid,
-        }
-
-    def refine(lam: Column, _: Column) -> Column:
-        s = state(lam)
-        c = F.lit(FLATTENING / 16) * s["cos2_alpha"] * (
-            F.lit(4.0) + F.lit(FLATTENING) * (F.lit(4.0) - F.lit(3.0) * s["cos2_alpha"])
-        )
-        bend = s["sigma"] + c * s["sin_sigma"] * (
-            s["mid"] + c * s["cos_sigma"] * (F.lit(2.0) * s["mid"] * s["mid"] - F.lit(1.0))
-        )
-        return delta + (F.lit(1.0) - c) * F.lit(FLATTENING) * s["sin_alpha"] * bend
+    reduced = math.atan((1 - FLATTENING) * math.tan(math.radians(origin_lat)))
+    sin_u1, cos_u1 = math.sin(reduced), math.cos(reduced)
+
+    def on_sphere(p: Column, lam: Column, body: Callable[[Column, Column], Column]) -> Column:
+        """Bind arc and azimuth terms of the auxiliary sphere for one lambda."""
 
-    def length(lam: Column) -> Column:
-        s = state(lam)
+        def arc(turn: Column) -> Column:
+            across = p["cos_u2"] * turn["sin"]
+            along = cos_u1 * p["sin_u2"] - sin_u1 * p["cos_u2"] * turn["cos"]
+            return _let(
+                {
+                    "sin_sigma": F.sqrt(across * across + along * along),
+                    "cos_sigma": sin_u1 * p["sin_u2"] + cos_u1 * p["cos_u2"] * turn["cos"],
+                    "product": cos_u1 * p["cos_u2"] * turn["sin"],
+                },
+                azimuth,
+            )
+
+        def azimuth(a: Column) -> Column:
+            sin_alpha = F.coalesce(F.try_divide(a["product"], a["sin_sigma"]), F.lit(0.0))
+            return _let(
+                {
+                    "sin_sigma": a["sin_sigma"],
+                    "cos_sigma": a["cos_sigma"],
+                    "sigma": F.atan2(a["sin_sigma"], a["cos_sigma"]),
+                    "sin_alpha": sin_alpha,
+                    "cos2_alpha": 1.0 - sin_alpha * sin_alpha,
+                },
+                midpoint,
+            )
+
+        def midpoint(s: Column) -> Column:
+            offset = F.try_divide(2.0 * sin_u1 * p["sin_u2"], s["cos2_alpha"])
+            mid = s["cos_sigma"] - F.coalesce(offset, F.lit(0.0))
+            return _let({"mid": mid}, lambda m: body(s, m["mid"]))
+
+        return _let({"sin": F.sin(lam), "cos": F.cos(lam)}, arc)
+
+    def refine(p: Column) -> Callable[[Column, Column], Column]:
+        def next_lambda(s: Column, mid: Column) -> Column:
+            c = (
+                (FLATTENING / 16)
+                * s["cos2_alpha"]
+                * (4.0 + FLATTENING * (4.0 - 3.0 * s["cos2_alpha"]))
+            )
+            bend = s["sigma"] + c * s["sin_sigma"] * (
+                mid + c * s["cos_sigma"] * (2.0 * mid * mid - 1.0)
+            )
+            return p["delta"] + (1.0 - c) * FLATTENING * s["sin_alpha"] * bend
+
+        return lambda lam, _: on_sphere(p, lam, next_lambda)
+
+    def length(s: Column, mid: Column) -> Column:
         squash = (MAJOR_AXIS**2 - MINOR_AXIS**2) / MINOR_AXIS**2
-        u_sq = s["cos2_alpha"] * F.lit(squash)
-        a = F.lit(1.0) + u_sq / 16384.0 * (
-            F.lit(4096.0) + u_sq * (F.lit(-768.0) + u_sq * (F.lit(320.0) - F.lit(175.0) * u_sq))
+        u_sq = s["cos2_alpha"] * squash
+        a = 1.0 + u_sq / 16384.0 * (
+            4096.0 + u_sq * (-768.0 + u_sq * (320.0 - 175.0 * u_sq))
         )
-        b = u_sq / 1024.0 * (
-            F.lit(256.0) + u_sq * (F.lit(-128.0) + u_sq * (F.lit(74.0) - F.lit(47.0) * u_sq))
+        b = u_sq / 1024.0 * (256.0 + u_sq * (-128.0 + u_sq * (74.0 - 47.0 * u_sq)))
+        twice = 2.0 * mid * mid - 1.0
+        quarter = mid * (4.0 * s["sin_sigma"] * s["sin_sigma"] - 3.0) * (4.0 * mid * mid - 3.0)
+        correction = (
+            b * s["sin_sigma"] * (mid + b / 4.0 * (s["cos_sigma"] * twice - b / 6.0 * quarter))
         )
-        mid_sq = s["mid"] * s["mid"]
-        correction = b * s["sin_sigma"] * (
-            s["mid"]
-            + b / 4.0 * (
-                s["cos_sigma"] * (F.lit(2.0) * mid_sq - F.lit(1.0))
-                - b / 6.0 * s["mid"]
-                * (F.lit(4.0) * s["sin_sigma"] * s["sin_sigma"] - F.lit(3.0))
-                * (F.lit(4.0) * mid_sq - F.lit(3.0))
-            )
-        )
-        return F.lit(MINOR_AXIS / 1000.0) * a * (s["sigma"] - correction)
+        return (MINOR_AXIS / 1000.0) * a * (s["sigma"] - correction)
+
+    def solve(p: Column) -> Column:
+        rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
+        settled = F.aggregate(rounds, p["delta"], refine(p))
+        return on_sphere(p, settled, length)
 
-    distance = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), delta, refine, length)
+    u2 = F.atan((1 - FLATTENING) * F.tan(F.radians(lat)))
+    distance = _let(
+        {
+            "sin_u2": F.sin(u2),
+            "cos_u2": F.cos(u2),
+            "delta": F.radians(lon) - math.radians(origin_lon),
+        },
+        solve,
+    )
     return F.when(lat.isNotNull() & lon.isNotNull(), round_to(distance, 3).cast("double"))
