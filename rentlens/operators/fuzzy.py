@@ -7,8 +7,8 @@ built-in functions cannot express, in an Arrow batch function over distinct text
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -49,38 +49,82 @@ def weighted_matches(names: Sequence[str], cutoff: float, match_case: bool = Fal
 
     @F.pandas_udf(MATCH_TYPE)
     def match(texts: pd.Series) -> pd.DataFrame:
-        found = [best_match(t, listed, cutoff, match_case) for t in texts]
+        known = [(n, Text(n if match_case else n.lower())) for n in listed]
+        found = [best_match(t, known, cutoff, match_case) for t in texts]
         return pd.DataFrame(found, columns=["name", "score"])
 
     return match
 
 
+class Text:
+    """A text with its letters counted and its words sorted, once."""
+
+    def __init__(self, value: str) -> None:
+        self.value = value
+        self.letters = Counter(value)
+        self.words = sorted(value.split())
+        self.unique = set(self.words)
+        self.sorted = " ".join(self.words)
+        self.shortest = len(" ".join(self.unique))
+
+    def __len__(self) -> int:
+        return len(self.value)
+
+
 def best_match(
-    text: str | None, names: Sequence[str], cutoff: float, match_case: bool = False
+    text: str | None, known: Sequence[tuple[str, Text]], cutoff: float, match_case: bool = False
 ) -> tuple[str | None, float | None]:
+    """Highest score at or above the cutoff; the earlier name wins a tie."""
     if not text:
         return None, None
-    wanted = text if match_case else text.lower()
-    best_name, best_score = None, cutoff
-    for name in names:
-        score = weighted_ratio(wanted, name if match_case else name.lower())
-        if score > best_score or (best_name is None and score >= cutoff):
-            best_name, best_score = name, score
-        if best_score == 100.0 and best_name is not None:
-            break
-    return (best_name, best_score) if best_name is not None else (None, None)
-
-
-def weighted_ratio(a: str, b: str) -> float:
+    wanted = Text(text if match_case else text.lower())
+    best_name, best_score = None, None
+    for name, candidate in known:
+        if best_score is None:
+            if highest_possible(wanted, candidate) < cutoff:
+                continue
+            score = weighted_ratio(wanted, candidate)
+            if score >= cutoff:
+                best_name, best_score = name, score
+        elif highest_possible(wanted, candidate) > best_score:
+            score = weighted_ratio(wanted, candidate)
+            if score > best_score:
+                best_name, best_score = name, score
+    return best_name, best_score
+
+
+def highest_possible(a: Text, b: Text) -> float:
+    """Bound on the weighted ratio from shared letters. A common subsequence
+    cannot be longer than the letters both texts hold."""
+    if not len(a) or not len(b):
+        return 0.0
+    if a.unique & b.unique:
+        return 100.0
+    shared = sum((a.letters & b.letters).values())
+    whole = min(100.0, 200.0 * shared / max(1, a.shortest + b.shortest))
+    if _spread(a, b) < 1.5:
+        return whole
+    partial = min(100.0, 200.0 * shared / max(1, min(a.shortest, b.shortest) + shared))
+    return max(whole, _partial_scale(a, b) * partial)
+
+
+def _spread(a: Text, b: Text) -> float:
+    return max(len(a), len(b)) / min(len(a), len(b))
+
+
+def _partial_scale(a: Text, b: Text) -> float:
+    return 0.9 if _spread(a, b) <= 8.0 else 0.6
+
+
+def weighted_ratio(a: Text, b: Text) -> float:
     """Best of the ratios, partial ones scaled down as the lengths diverge."""
-    if not a or not b:
+    if not len(a) or not len(b):
         return 0.0
-    whole = ratio(a, b)
-    spread = max(len(a), len(b)) / min(len(a), len(b))
-    if spread < 1.5:
+    whole = ratio(a.value, b.value)
+    if _spread(a, b) < 1.5:
         return max(whole, 0.95 * token_ratio(a, b))
-    scale = 0.9 if spread <= 8.0 else 0.6
-    partial = scale * partial_ratio(a, b)
+    scale = _partial_scale(a, b)
+    partial = scale * partial_ratio(a.value, b.value)
     return max(whole, partial, 0.95 * scale * partial_token_ratio(a, b))
 
 
@@ -121,23 +165,16 @@ def _best_stretch(short: str, long: str) -> float:
     return max(ratio(short, s) for s in stretches)
 
 
-@lru_cache(maxsize=4096)
-def _tokens(text: str) -> tuple[str, ...]:
-    return tuple(sorted(text.split()))
-
-
-def token_ratio(a: str, b: str) -> float:
-    in_order = ratio(" ".join(_tokens(a)), " ".join(_tokens(b)))
-    return max(in_order, token_set_ratio(a, b))
+def token_ratio(a: Text, b: Text) -> float:
+    return max(ratio(a.sorted, b.sorted), token_set_ratio(a, b))
 
 
-def token_set_ratio(a: str, b: str) -> float:
-    left, right = set(_tokens(a)), set(_tokens(b))
-    if not left or not right:
+def token_set_ratio(a: Text, b: Text) -> float:
+    if not a.unique or not b.unique:
         return 0.0
-    shared = " ".join(sorted(left & right))
-    only_a = " ".join(sorted(left - right))
-    only_b = " ".join(sorted(right - left))
+    shared = " ".join(sorted(a.unique & b.unique))
+    only_a = " ".join(sorted(a.unique - b.unique))
+    only_b = " ".join(sorted(b.unique - a.unique))
     if shared and (not only_a or not only_b):
         return 100.0
     gap = 1 if shared else 0
@@ -151,10 +188,9 @@ def token_set_ratio(a: str, b: str) -> float:
     return best
 
 
-def partial_token_ratio(a: str, b: str) -> float:
-    left, right = set(_tokens(a)), set(_tokens(b))
-    if left & right:
+def partial_token_ratio(a: Text, b: Text) -> float:
+    if a.unique & b.unique:
         return 100.0
-    in_order = partial_ratio(" ".join(_tokens(a)), " ".join(_tokens(b)))
-    only = partial_ratio(" ".join(sorted(left - right)), " ".join(sorted(right - left)))
+    in_order = partial_ratio(a.sorted, b.sorted)
+    only = partial_ratio(" ".join(sorted(a.unique)), " ".join(sorted(b.unique)))
     return max(in_order, only)

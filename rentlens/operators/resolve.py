@@ -9,6 +9,7 @@ from rentlens.config import DEFAULTS, Settings
 from rentlens.functions.geo import geodesic_km
 from rentlens.functions.text import first_part
 from rentlens.operators.fuzzy import best_by_edits, weighted_matches
+from rentlens.operators.spool import spool
 from rentlens.sources.gazetteer import NAMES, gazetteer
 
 PLACE = ["matched_name", "lat", "lon"]
@@ -31,10 +32,20 @@ def from_cache(texts: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def from_gazetteer(texts: DataFrame, s: Settings = DEFAULTS, match_case: bool = False) -> DataFrame:
-    """Best known place by the weighted scorer, at or above the cutoff."""
+    """Best known place by the weighted scorer, at or above the cutoff.
+
+    Texts are small but slow to score, so they are spread over all tasks by count;
+    left alone, the planner would merge them into few tasks by their bytes.
+    """
+    spark = texts.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     match = weighted_matches(NAMES, s.fuzzy_cutoff, match_case)
-    scored = texts.withColumn("_match", match("raw_string")).filter("_match.name IS NOT NULL")
-    places = gazetteer(texts.sparkSession)
+    scored = (
+        texts.repartition(tasks, "raw_string")
+        .withColumn("_match", match("raw_string"))
+        .filter("_match.name IS NOT NULL")
+    )
+    places = gazetteer(spark)
     return scored.join(places, F.col("_match.name") == places["name"]).select(
         "raw_string", F.col("name").alias("matched_name"), "lat", "lon",
         F.col("_match.score").alias("score"),
@@ -70,14 +81,18 @@ def from_lookup(texts: DataFrame, lookup: DataFrame) -> DataFrame:
 def resolve_texts(
     texts: DataFrame, cache: DataFrame, lookup: DataFrame, s: Settings = DEFAULTS
 ) -> DataFrame:
-    """Each resolved text with its place and the stage that found it."""
+    """Each resolved text with its place and the stage that found it.
+
+    Texts and fuzzy matches feed more than one stage, so each is written once.
+    """
 
     def staged(found: DataFrame, stage: str) -> DataFrame:
         return found.select("raw_string", *PLACE, F.lit(stage).alias("stage"))
 
+    texts = spool(texts)
     cached = from_cache(texts, cache)
     uncached = texts.join(cached, "raw_string", "left_anti")
-    matched = from_gazetteer(uncached, s)
+    matched = spool(from_gazetteer(uncached, s))
     unmatched = uncached.join(matched, "raw_string", "left_anti")
     return (
         staged(cached, "cache")

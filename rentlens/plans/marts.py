@@ -195,12 +195,20 @@ def with_changes(monthly: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 def rolling_rent(monthly: DataFrame, months: int = 3) -> DataFrame:
     """Average and median of the last `months` present months."""
     frame = by_month().rowsBetween(-(months - 1), 0)
+    # `median` takes no frame; the frame holds `months` values at most.
+    values = F.array_sort(F.collect_list("median_rent_ksh").over(frame))
     return monthly.withColumns(
         {
             "rolling_avg_rent_ksh": numeric.round_to(F.avg("avg_rent_ksh").over(frame), 2),
-            "rolling_median_rent_ksh": F.median("median_rent_ksh").over(frame),
+            "_values": values,
         }
-    )
+    ).select(
+        "*",
+        (
+            (F.get("_values", F.floor((F.size("_values") - 1) / 2).cast("int"))
+            + F.get("_values", F.floor(F.size("_values") / 2).cast("int"))) / 2
+        ).alias("rolling_median_rent_ksh"),
+    ).drop("_values")
 
 
 def yearly_change(monthly: DataFrame) -> DataFrame:

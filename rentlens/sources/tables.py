@@ -48,10 +48,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """The resolution cache. `inserted` follows file order: the first row of a
-    text wins."""
+    """The resolution cache. `inserted` orders rows by file age, then by place in
+    the file: the first row of a text wins."""
     rows = spark.read.schema(LOOKUP).option("header", True).csv(path)
-    return rows.withColumn("inserted", F.monotonically_increasing_id())
+    return rows.select(
+        *LOOKUP.fieldNames(),
+        F.struct(
+            F.col("_metadata.file_modification_time"),
+            F.col("_metadata.file_name"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("inserted"),
+    )
 
 
 def append_lookup(resolved: DataFrame, path: str) -> None:
