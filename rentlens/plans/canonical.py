@@ -11,6 +11,7 @@ from rentlens.functions.dates import now_utc
 from rentlens.functions.text import first_non_empty
 from rentlens.operators.profile import run_summary
 from rentlens.operators.resolve import distinct_texts, resolve_texts, with_place
+from rentlens.operators.spool import spool
 from rentlens.schema import CANONICAL_COLUMNS, RAW_RECORD
 
 
@@ -65,8 +66,12 @@ def canonical_listings(
     stamp: Column | None = None,
     s: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Records with a location, parsed and resolved."""
-    rows = parsed(raw, stamp, s).filter(F.col("location_raw") != "")
+    """Records with a location, parsed and resolved.
+
+    Parsing may have read HTML in Python, so its rows are written once: the texts
+    to resolve and the join back both read that copy.
+    """
+    rows = spool(parsed(raw, stamp, s).filter(F.col("location_raw") != ""))
     resolved = resolve_texts(distinct_texts(rows), cache, lookup, s)
     columns = [c for c in CANONICAL_COLUMNS if c != "ingested_at"]
     return with_place(rows, resolved, s).select(columns)

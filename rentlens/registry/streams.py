@@ -1 +1,278 @@
-"""Placeholder."""
+"""Streaming (ST), stream sinks (S2, S3, S6), counters (A18) and Q12.
+
+Each query writes the deliveries derived from the tables as envelope files, runs
+the streaming job over them to the end, and returns what its sink holds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rentlens.operators.dedupe import latest_per_key
+from rentlens.plans import staging
+from rentlens.registry import base
+from rentlens.registry.base import query
+from rentlens.registry.layers import over
+from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
+from rentlens.schema import CANONICAL_COLUMNS, LANDED
+from rentlens.sources import envelope, tables
+from rentlens.streaming import ingest
+
+GOOD = f"(SELECT * FROM raw WHERE NOT ({ENVELOPE_BAD}))"
+
+
+def delivered(spark, folder, repeats: bool = False) -> DataFrame:
+    """The envelope stream; with `repeats`, some deliveries come twice."""
+    path = scratch(spark, "envelopes")
+    rows = envelopes(spark, folder)
+    rows.write.json(path)
+    if repeats:
+        rows.filter(F.col("seq").cast("long") % 10 == 3).write.mode("append").json(path)
+    return ingest.envelope_stream(spark, path)
+
+
+def finish(*running) -> None:
+    for q in running:
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+
+
+def stamp():
+    return F.lit("2026-03-04 05:06:07").cast("timestamp_ntz")
+
+
+@query(
+    "s2_incremental_load",
+    over("raw", f"SELECT {CANON_SQL} FROM {GOOD}"),
+)
+def s2(spark, folder):
+    """Archive files appended once each, though the load is started twice."""
+    archive, landed = scratch(spark, "archive"), scratch(spark, "landed")
+    marks = scratch(spark, "checkpoints")
+    finish(ingest.start_archive(delivered(spark, folder), archive, f"{marks}/a", stamp=stamp()))
+    for _ in range(2):
+        finish(ingest.start_landing(spark, archive, landed, f"{marks}/l"))
+    return spark.read.schema(LANDED).parquet(landed).select(CANONICAL_COLUMNS)
+
+
+@query(
+    "s3_archive_sink",
+    over(
+        "raw",
+        f"""SELECT property_id, price_ksh, CAST(arrival_seq AS VARCHAR) AS _seq,
+              '2026' AS year, '03' AS month, '04' AS day, '05' AS hour FROM {GOOD}""",
+    ),
+)
+def s3(spark, folder):
+    archive, marks = scratch(spark, "archive"), scratch(spark, "checkpoints")
+    finish(ingest.start_archive(delivered(spark, folder), archive, marks, stamp=stamp()))
+    return tables.read_archive(spark, archive).select(
+        "property_id", "price_ksh", "_seq", *tables.ARCHIVE_PARTITIONS
+    )
+
+
+HISTORY = f"""SELECT property_id, scraped_at AS scraped_date, price_ksh, price_raw,
+    epoch(TIMESTAMP '2026-03-04 05:06:07')::BIGINT + 90 * 86400 AS expires_at
+  FROM {GOOD} QUALIFY row_number() OVER (PARTITION BY property_id, scraped_at
+    ORDER BY length(CAST(arrival_seq AS VARCHAR)) DESC, CAST(arrival_seq AS VARCHAR) DESC) = 1"""
+HISTORY_COLUMNS = ["property_id", "scraped_date", "price_ksh", "price_raw", "expires_at"]
+
+
+def run_history(spark, folder):
+    path, marks = scratch(spark, "history"), scratch(spark, "checkpoints")
+    finish(
+        ingest.start_history(delivered(spark, folder, repeats=True), path, marks, asof=stamp())
+    )
+    return path
+
+
+@query("s6_history_upsert", over("raw", HISTORY))
+def s6(spark, folder):
+    path = run_history(spark, folder)
+    return ingest.history_table(spark, path).read().select(HISTORY_COLUMNS)
+
+
+@query(
+    "s6_history_latest",
+    over(
+        "raw",
+        f"""SELECT property_id, scraped_date FROM ({HISTORY})
+            QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY scraped_date DESC) = 1""",
+    ),
+)
+def s6_latest(spark, folder):
+    """Unexpired history, reduced to the newest observation of each listing."""
+    path = run_history(spark, folder)
+    live = ingest.unexpired(ingest.history_table(spark, path).read(), stamp())
+    return ingest.latest_state(live).select("property_id", "scraped_date")
+
+
+@query(
+    "a18_batch_counters",
+    over(
+        "raw",
+        f"""SELECT (SELECT CAST(sum(CASE WHEN arrival_seq % 10 = 3 THEN 2 ELSE 1 END) AS BIGINT)
+                    FROM {GOOD}) AS processed,
+              (SELECT CAST(sum(CASE WHEN arrival_seq % 10 = 3 THEN 2 ELSE 1 END) AS BIGINT)
+               FROM raw WHERE {ENVELOPE_BAD}) AS failed FROM (SELECT 1)""",
+    ),
+)
+def a18(spark, folder):
+    path = run_history(spark, folder)
+    counts = spark.read.schema("processed long, failed long, batch_id long").json(f"{path}_counts")
+    return counts.agg(
+        F.sum("processed").alias("processed"), F.sum("failed").alias("failed")
+    )
+
+
+@query(
+    "st1_two_consumers",
+    over(
+        "raw",
+        f"""SELECT 'archive' AS consumer, count(*) AS n FROM {GOOD}
+            UNION ALL SELECT 'history', count(*) FROM ({HISTORY})""",
+    ),
+)
+def st1(spark, folder):
+    """Two queries over one stream, each with its own checkpoint."""
+    stream = delivered(spark, folder)
+    archive, history = scratch(spark, "archive"), scratch(spark, "history")
+    marks = scratch(spark, "checkpoints")
+    finish(
+        ingest.start_archive(stream, archive, f"{marks}/a", stamp=stamp()),
+        ingest.start_history(stream, history, f"{marks}/h", asof=stamp()),
+    )
+    counts = {
+        "archive": tables.read_archive(spark, archive),
+        "history": ingest.history_table(spark, history).read(),
+    }
+    counted = [
+        rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("consumer"), "n")
+        for name, rows in counts.items()
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+@query(
+    "st2_repeats_dropped",
+    over(
+        "raw",
+        """SELECT 'shard-' || (arrival_seq % 4) || ':' || arrival_seq AS event_id,
+             CAST(arrival_seq AS VARCHAR) AS seq FROM raw""",
+    ),
+)
+def st2(spark, folder):
+    """Exact repeats within the delay are dropped while streaming. The delay spans
+    the data's whole period here, since repeats carry their first arrival time."""
+    stream = ingest.without_repeats(delivered(spark, folder, repeats=True), "4000 days")
+    path, marks = scratch(spark, "unique"), scratch(spark, "checkpoints")
+    finish(
+        stream.select("event_id", "seq")
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", marks)
+        .trigger(availableNow=True)
+        .start()
+    )
+    return spark.read.schema("event_id string, seq string").parquet(path)
+
+
+@query(
+    "st3_last_per_key",
+    over(
+        "raw",
+        f"""SELECT property_id, price_ksh, _seq FROM (
+             SELECT property_id, price_ksh, arrival_seq, CAST(arrival_seq AS VARCHAR) AS _seq
+             FROM {GOOD} QUALIFY row_number() OVER
+               (PARTITION BY property_id ORDER BY arrival_seq DESC) = 1)""",
+    ),
+)
+def st3(spark, folder):
+    """Order within a key comes from the sequence number, not from the file."""
+    def last(batch: DataFrame, batch_id: int) -> None:
+        rows = envelope.valid_rows(envelope.decode(batch)).withColumn(
+            "_number", F.col("_seq").cast("long")
+        )
+        latest_per_key(rows, ["property_id"], ["_number"]).drop("_number").write.mode(
+            "overwrite"
+        ).parquet(f"{path}/batch_id={batch_id}")
+
+    path, marks = scratch(spark, "ordered"), scratch(spark, "checkpoints")
+    finish(ingest.start_batches(delivered(spark, folder), marks, last))
+    return spark.read.parquet(path).select("property_id", "price_ksh", "_seq")
+
+
+@query(
+    "st4_ingestion_stamp",
+    over(
+        "raw",
+        """SELECT arrival_seq, '2026-03-04T05:06:07.000000+00:00' AS ingested_at
+           FROM raw WHERE coalesce(location_raw, '') <> ''""",
+    ),
+)
+def st4(spark, folder):
+    accepted, _ = ingest.accepted_records(base.raw(spark, folder), stamp())
+    return accepted.select("arrival_seq", "ingested_at")
+
+
+@query("st5_replayed_batch", over("raw", HISTORY))
+def st5(spark, folder):
+    """The same batch stored twice, as after a crash before its commit."""
+    path, marks = scratch(spark, "history"), scratch(spark, "checkpoints")
+    stream = delivered(spark, folder, repeats=True)
+    for attempt in ("first", "again"):
+        finish(ingest.start_history(stream, path, f"{marks}/{attempt}", asof=stamp()))
+    return ingest.history_table(spark, path).read().select(HISTORY_COLUMNS)
+
+
+@query(
+    "st6_small_batches",
+    over("raw", f"SELECT property_id, price_ksh, CAST(arrival_seq AS VARCHAR) AS _seq FROM {GOOD}"),
+)
+def st6(spark, folder):
+    """Several micro-batches of a few files each, buffered to the archive."""
+    path = scratch(spark, "envelopes")
+    envelopes(spark, folder).repartition(6).write.json(path)
+    stream = ingest.envelope_stream(spark, path, files_per_batch=2)
+    archive, marks = scratch(spark, "archive"), scratch(spark, "checkpoints")
+    finish(ingest.start_archive(stream, archive, marks, stamp=stamp()))
+    return tables.read_archive(spark, archive).select("property_id", "price_ksh", "_seq")
+
+
+@query(
+    "q12_stream_to_staging",
+    over(
+        "raw",
+        f"""SELECT property_id, price_ksh, value_zone, neighbourhood FROM (
+            SELECT property_id, price_ksh, value_zone,
+                   upper(substr(trim(neighbourhood), 1, 1)) || lower(substr(trim(neighbourhood), 2))
+                     AS neighbourhood FROM (
+              SELECT *, CASE WHEN dist_to_archives_km IS NULL THEN 'Unknown'
+                 WHEN price_ksh >= 80000 AND dist_to_archives_km <= 5.0 THEN 'Premium'
+                 WHEN price_ksh < 50000 AND dist_to_archives_km <= 8.0 THEN 'Sweet Spot'
+                 WHEN dist_to_archives_km > 15.0 THEN 'Commuter' ELSE 'Mid-range' END AS value_zone
+              FROM {GOOD} WHERE price_ksh BETWEEN 3000 AND 2000000
+              QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY
+                ingested_at DESC, scraped_at DESC, source_url DESC, location_raw DESC,
+                neighbourhood DESC NULLS LAST, latitude DESC, longitude DESC,
+                dist_to_archives_km DESC NULLS LAST, price_raw DESC, price_ksh DESC) = 1))""",
+    ),
+)
+def q12(spark, folder):
+    """Envelopes to archive, history and dead letters; archive to the landed table;
+    landed table to staging. One landing run stamps all its rows alike, so the
+    ingestion stamp decides which delivery is newest."""
+    stream = delivered(spark, folder, repeats=True)
+    archive, landed = scratch(spark, "archive"), scratch(spark, "landed")
+    history, letters = scratch(spark, "history"), scratch(spark, "letters")
+    marks = scratch(spark, "checkpoints")
+    finish(
+        ingest.start_archive(stream, archive, f"{marks}/a", stamp=stamp()),
+        ingest.start_history(stream, history, f"{marks}/h", asof=stamp()),
+        ingest.start_dead_letters(stream, letters, f"{marks}/d"),
+    )
+    finish(ingest.start_landing(spark, archive, landed, f"{marks}/l"))
+    staged = staging.staged_listings(spark.read.schema(LANDED).parquet(landed))
+    return staged.select("property_id", "price_ksh", "value_zone", "neighbourhood")

@@ -99,7 +99,7 @@ def start_dead_letters(
         finally:
             decoded.unpersist()
 
-    return _start_batches(envelopes, checkpoint, store)
+    return start_batches(envelopes, checkpoint, store)
 
 
 def history_rows(valid: DataFrame, asof: Column, s: Settings = DEFAULTS) -> DataFrame:
@@ -151,10 +151,10 @@ def start_history(
         finally:
             decoded.unpersist()
 
-    return _start_batches(envelopes, checkpoint, store)
+    return start_batches(envelopes, checkpoint, store)
 
 
-def _start_batches(stream: DataFrame, checkpoint: str, store) -> StreamingQuery:
+def start_batches(stream: DataFrame, checkpoint: str, store) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
