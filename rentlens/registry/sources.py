@@ -272,8 +272,11 @@ def card_pages(spark, folder) -> DataFrame:
         '<span class="feature-label">Parking</span><span class="feature-label">',
         (key % 3).cast("string"), " Bathrooms</span></div>",
     )
+    # Pages are slow to parse for their size, so their number of parts is fixed here.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = (
         rows.select(F.floor(key / 20).alias("page_id"), F.struct(key, card.alias("card")).alias("c"))
+        .repartition(tasks, "page_id")
         .groupBy("page_id")
         # Order keys are unique, so a page has 20 cards at most.
         .agg(F.array_sort(F.collect_list("c")).alias("cs"))

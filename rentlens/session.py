@@ -36,5 +36,7 @@ def build(app_name: str = "rentlens", cores: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Plans are built from many small columns; call sites are not needed for them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
