@@ -15,10 +15,22 @@ def newest_first(df: DataFrame, stamps: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in [*stamps, *rest]]
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], stamps: Sequence[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], stamps: Sequence[str], stamps_differ: bool = False
+) -> DataFrame:
     """One row per key. The row_number = 1 filter lets the planner drop older
-    rows before the shuffle, so one hot key sends one row per task."""
-    window = Window.partitionBy(*keys).orderBy(*newest_first(df.drop(*keys), stamps))
+    rows before the shuffle, so one hot key sends one row per task.
+
+    `stamps_differ` says that no two rows of a key share all stamps. Then the
+    other columns take no part in the order, and those the query does not use
+    are never read.
+    """
+    order = (
+        [F.col(c).desc_nulls_last() for c in stamps]
+        if stamps_differ
+        else newest_first(df.drop(*keys), stamps)
+    )
+    window = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_row", F.row_number().over(window))
         .filter(F.col("_row") == 1)

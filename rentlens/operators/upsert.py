@@ -25,9 +25,9 @@ class KeyedTable:
 
     Each upsert writes only its own rows, into the directory of its version
     number. Writing a version again replaces that directory, so a retried batch
-    leaves the table as it was. Readers keep, for each key, the rows of its
-    newest version. `compact_to` writes the current rows out as a fresh table
-    when the old versions have grown.
+    leaves the table as it was. Readers see committed versions only and keep, for
+    each key, the rows of its newest one. `compact_to` writes the current rows
+    out as a fresh table when the old versions have grown.
     """
 
     def __init__(
@@ -39,8 +39,25 @@ class KeyedTable:
         self.schema = schema
 
     def upsert(self, rows: DataFrame, version: int) -> None:
-        columns = self.schema.fieldNames()
-        rows.select(columns).write.mode("overwrite").parquet(self._folder(version))
+        self.stage(rows, version)
+        self.commit(version)
+
+    def stage(self, rows: DataFrame, version: int) -> None:
+        """Write a version that readers do not see yet, so it can be checked first."""
+        (
+            rows.select(self.schema.fieldNames())
+            .write.mode("overwrite")
+            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+            .parquet(self._folder(version))
+        )
+
+    def staged(self, version: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+
+    def commit(self, version: int) -> None:
+        """One small marker file makes the version visible as a whole."""
+        fs, hadoop_path = self._file_system()
+        fs.create(hadoop_path(f"{self._folder(version)}/_SUCCESS"), True).close()
 
     def read(self) -> DataFrame:
         versions = self._all_versions()
@@ -74,16 +91,19 @@ class KeyedTable:
         return f"{self.path}/version={int(version):012d}"
 
     def _version_numbers(self) -> list[int]:
-        """Versions whose write was committed, from the directory listing."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
+        """Committed versions, from the directory listing."""
+        fs, hadoop_path = self._file_system()
+        if not fs.exists(hadoop_path(self.path)):
             return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        names = [status.getPath().getName() for status in fs.listStatus(hadoop_path(self.path))]
         return [
             int(name.split("=")[1])
             for name in names
             if name.startswith("version=")
-            and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{name}/_SUCCESS"))
+            and fs.exists(hadoop_path(f"{self.path}/{name}/_SUCCESS"))
         ]
+
+    def _file_system(self):
+        context = self.spark.sparkContext
+        hadoop_path = context._jvm.org.apache.hadoop.fs.Path
+        return hadoop_path(self.path).getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from rentlens.config import DEFAULTS, Settings
 from rentlens.operators.dedupe import merge_latest
 from rentlens.operators.filters import cast_columns
-from rentlens.operators.spool import spool
 from rentlens.operators.upsert import KeyedTable
 from rentlens.plans.staging import batch_cleaned
 from rentlens.quality import rules, suites
@@ -25,23 +24,29 @@ def load_batch(
     min_rows: int = 100,
     s: Settings = DEFAULTS,
 ) -> None:
-    """Nothing is written when the source fails its rules, and nothing cleaned is
-    written when the result fails its own. Running a version again is harmless.
+    """A version becomes visible only when its rules hold: a bad source leaves both
+    tables alone, a bad result the cleaned one. Running a version again is harmless.
 
-    The source is spooled once, typed and cut to the table's columns: the rule
-    counts, the raw load and the cleaning all read that copy.
+    The source is read once and each table written once. Rules are counted while
+    writing, and cleaning reads back the typed columns just written.
     """
-    typed = spool(cast_columns(source).select(CANONICAL_COLUMNS))
-    halt_on_failure(
-        rules.evaluate(typed, "source", suites.batch_source_rules(min_rows)), "source"
+    typed, source_report = rules.observe(
+        cast_columns(source).select(CANONICAL_COLUMNS),
+        "source",
+        suites.batch_source_rules(min_rows),
     )
-    raw_table.upsert(typed, version)
-
-    cleaned = spool(batch_cleaned(typed, cleaned_at, s))
-    halt_on_failure(
-        rules.evaluate(cleaned, "cleaned", suites.batch_cleaned_rules(s)), "cleaned"
+    raw_table.stage(typed, version)
+    halt_on_failure(source_report(), "source")
+    raw_table.commit(version)
+
+    cleaned, cleaned_report = rules.observe(
+        batch_cleaned(raw_table.staged(version), cleaned_at, s),
+        "cleaned",
+        suites.batch_cleaned_rules(s),
     )
-    cleaned_table.upsert(cleaned, version)
+    cleaned_table.stage(cleaned, version)
+    halt_on_failure(cleaned_report(), "cleaned")
+    cleaned_table.commit(version)
 
 
 def reconciled(streamed: DataFrame, batch: DataFrame) -> DataFrame:

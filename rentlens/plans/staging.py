@@ -23,26 +23,30 @@ CLEANED = [
 
 def staged_listings(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """One clean row per listing, from the landed table."""
-    stamps = _stamps(raw, STREAM_STAMPS)
-    latest = latest_per_key(quality_gate(raw, s), ["property_id"], stamps)
+    return cleaned_rows(_latest(quality_gate(raw, s), STREAM_STAMPS), s)
+
+
+def cleaned_rows(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Landed rows with clean values and classes, none dropped."""
     zone = classify.value_zone(F.col("price_ksh"), F.col("dist_to_archives_km"), s)
-    return latest.select(*_clean(zone, s), "firehose_arrival_at", "ingested_at")
+    return rows.select(*_clean(zone, s), "firehose_arrival_at", "ingested_at")
 
 
-def batch_cleaned(raw: DataFrame, cleaned_at: Column | None = None, s: Settings = DEFAULTS) -> DataFrame:
+def batch_cleaned(
+    raw: DataFrame, cleaned_at: Column | None = None, s: Settings = DEFAULTS
+) -> DataFrame:
     """The batch variant: ordered by the ingestion stamp, no arrival column."""
-    stamps = _stamps(raw, BATCH_STAMPS)
-    latest = latest_per_key(quality_gate(raw, s), ["property_id"], stamps)
+    latest = _latest(quality_gate(raw, s), BATCH_STAMPS)
     zone = classify.batch_value_zone(F.col("price_ksh"), F.col("dist_to_archives_km"), s)
     stamp = cleaned_at if cleaned_at is not None else dates.now_utc()
     return latest.select(*_clean(zone, s), "ingested_at", stamp.alias("batch_cleaned_at"))
 
 
-def _stamps(raw: DataFrame, stamps: list[str]) -> list[str]:
+def _latest(rows: DataFrame, stamps: list[str]) -> DataFrame:
     # A delivery number, where the source has one, decides among equal arrivals.
-    if "arrival_seq" in raw.columns:
-        return [stamps[0], "arrival_seq", *stamps[1:]]
-    return stamps
+    if "arrival_seq" in rows.columns:
+        return latest_per_key(rows, ["property_id"], [stamps[0], "arrival_seq"], True)
+    return latest_per_key(rows, ["property_id"], stamps)
 
 
 def _clean(zone: Column, s: Settings) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentlens.config import DEFAULTS, Settings
@@ -48,56 +48,77 @@ def bedroom_pricing(enriched: DataFrame) -> DataFrame:
     )
 
 
-def geographic_alignment(enriched: DataFrame) -> DataFrame:
+def misaligned() -> Column:
     tier, segment = F.col("commute_tier"), F.col("location_segment")
     inner, middle = "Core CBD / Inner Ring", "Mid-Ring Suburb"
-    return enriched.filter(
+    return (
         (tier.isin("1 - Walking (0-2 km)", "2 - Short (2-5 km)") & (segment != inner))
         | ((tier == "3 - Medium (5-8 km)") & ~segment.isin(inner, middle))
         | ((tier == "5 - Far (15+ km)") & (segment == inner))
-    ).select("property_id", "dist_to_archives_km", "commute_tier", "location_segment")
+    )
 
 
-def neighbourhood_maths(enriched: DataFrame) -> DataFrame:
+def geographic_alignment(enriched: DataFrame) -> DataFrame:
+    return enriched.filter(misaligned()).select(
+        "property_id", "dist_to_archives_km", "commute_tier", "location_segment"
+    )
+
+
+def miscalculated() -> Column:
     priced = F.col("price_ksh").isNotNull()
     median = F.col("neighbourhood_median_ksh")
-    return enriched.filter(
+    return (
         (F.col("neighbourhood").isNotNull() & priced & median.isNull())
         | (priced & median.isNotNull() & F.col("price_vs_neighbourhood_median").isNull())
         | (median == 0)
-    ).select(
+    )
+
+
+def neighbourhood_maths(enriched: DataFrame) -> DataFrame:
+    return enriched.filter(miscalculated()).select(
         "property_id", "neighbourhood", "price_ksh", "neighbourhood_median_ksh",
         "price_vs_neighbourhood_median",
     )
 
 
+def without_median() -> Column:
+    return F.col("neighbourhood").isNotNull() & F.col("neighbourhood_median_ksh").isNull()
+
+
 def orphan_medians(enriched: DataFrame) -> DataFrame:
-    return enriched.filter(
-        F.col("neighbourhood").isNotNull() & F.col("neighbourhood_median_ksh").isNull()
-    ).select("property_id", "neighbourhood", "price_ksh", "neighbourhood_median_ksh")
+    return enriched.filter(without_median()).select(
+        "property_id", "neighbourhood", "price_ksh", "neighbourhood_median_ksh"
+    )
 
 
-def percentage_direction(enriched: DataFrame) -> DataFrame:
+def misdirected() -> Column:
     """The sign must follow the gap. A gap that rounds to 0.0 % has no sign."""
     price, median = F.col("price_ksh"), F.col("neighbourhood_median_ksh")
     pct = F.col("price_vs_neighbourhood_median")
     visible = F.abs(price - median) * 100.0 >= median * F.lit(0.05)
-    return enriched.filter(
+    return (
         (visible & (price > median) & (pct <= 0))
         | (visible & (price < median) & (pct >= 0))
         | ((price == median) & (pct != 0))
-    ).select("property_id", "price_ksh", "neighbourhood_median_ksh", "price_vs_neighbourhood_median")
+    )
+
+
+def percentage_direction(enriched: DataFrame) -> DataFrame:
+    return enriched.filter(misdirected()).select(
+        "property_id", "price_ksh", "neighbourhood_median_ksh", "price_vs_neighbourhood_median"
+    )
+
+
+def false_bargain(s: Settings = DEFAULTS) -> Column:
+    return F.col("is_sweet_spot") & (
+        (F.col("price_ksh") >= s.sweet_price)
+        | (F.col("dist_to_archives_km") > s.sweet_km)
+        | (F.col("price_ksh") > F.col("neighbourhood_median_ksh"))
+    )
 
 
 def sweet_spot_rules(enriched: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    return enriched.filter(
-        F.col("is_sweet_spot")
-        & (
-            (F.col("price_ksh") >= s.sweet_price)
-            | (F.col("dist_to_archives_km") > s.sweet_km)
-            | (F.col("price_ksh") > F.col("neighbourhood_median_ksh"))
-        )
-    ).select(
+    return enriched.filter(false_bargain(s)).select(
         "property_id", "price_ksh", "dist_to_archives_km", "neighbourhood_median_ksh",
         "is_sweet_spot",
     )

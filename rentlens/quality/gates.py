@@ -12,9 +12,10 @@ class QualityError(RuntimeError):
     """A rule of severity error failed."""
 
 
-def halt_on_failure(report: DataFrame, stage: str) -> None:
+def halt_on_failure(report: DataFrame | list[dict], stage: str) -> None:
     """Raise with the failed rules. A report has one row per rule."""
-    failed = report.filter("status = 'fail'").collect()
+    lines = report if isinstance(report, list) else [r.asDict() for r in report.collect()]
+    failed = [r for r in lines if r["status"] == "fail"]
     if failed:
         rules = "; ".join(f"{r['layer']}: {r['rule']} ({r['failed']})" for r in failed)
         raise QualityError(f"halted at {stage}: {len(failed)} rule(s) failed: {rules}")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REPORT = ["layer", "rule", "severity", "failed", "status"]
@@ -55,6 +55,11 @@ def in_set(column: str, values: Sequence) -> Rule:
     return Rule(f"{column} accepted", _count(~F.col(column).isin(list(values))))
 
 
+def none_of(name: str, broken: Column) -> Rule:
+    """No row may satisfy `broken`; an unknown result is no breach."""
+    return Rule(name, _count(broken))
+
+
 def expression(name: str, condition: Column, where: Column | None = None) -> Rule:
     """A row breaks the rule when the condition is false or unknown."""
     return Rule(name, F.count_if(_where(where) & ~F.coalesce(condition, F.lit(False))))
@@ -90,6 +95,40 @@ def evaluate(df: DataFrame, layer: str, rules: Sequence[Rule]) -> DataFrame:
     return _report(totals.select(F.explode(rows).alias("_r")).select("_r.*"), layer)
 
 
+def observe(
+    df: DataFrame, layer: str, rules: Sequence[Rule]
+) -> tuple[DataFrame, Callable[[], list[dict]]]:
+    """The same rules, counted while `df` is written: no pass of their own.
+
+    Returns the frame to write, and a function that gives the report afterwards.
+    """
+    observation = Observation(f"{layer} rules")
+    watched = df.observe(
+        observation, *[r.failed.cast("long").alias(f"_{i}") for i, r in enumerate(rules)]
+    )
+
+    def report() -> list[dict]:
+        counts = observation.get
+        return [
+            {
+                "layer": layer,
+                "rule": r.name,
+                "severity": r.severity,
+                "failed": counts[f"_{i}"],
+                "status": _status_of(counts[f"_{i}"], r.severity),
+            }
+            for i, r in enumerate(rules)
+        ]
+
+    return watched, report
+
+
+def _status_of(failed: int, severity: str) -> str:
+    if failed == 0:
+        return "pass"
+    return "warn" if severity == "warn" else "fail"
+
+
 def unique(df: DataFrame, layer: str, *columns: str) -> DataFrame:
     """Key values that occur more than once."""
     repeated = df.dropna(subset=list(columns)).groupBy(*columns).count().filter("count > 1")

@@ -76,19 +76,14 @@ def enriched_report(enriched: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
                     rules.expression(
                         "pct plausible", pct.between(-100, 1000), pct.isNotNull()
                     ),
+                    rules.none_of("geographic_alignment", assertions.misaligned()),
+                    rules.none_of("neighbourhood_maths", assertions.miscalculated()),
+                    rules.none_of("orphan_medians", assertions.without_median()),
+                    rules.none_of("percentage_direction", assertions.misdirected()),
+                    rules.none_of("sweet_spot_rules", assertions.false_bargain(s)),
                 ],
             ),
-            *[
-                rules.assertion(check(enriched), "enriched", name)
-                for name, check in {
-                    "bedroom_pricing": assertions.bedroom_pricing,
-                    "geographic_alignment": assertions.geographic_alignment,
-                    "neighbourhood_maths": assertions.neighbourhood_maths,
-                    "orphan_medians": assertions.orphan_medians,
-                    "percentage_direction": assertions.percentage_direction,
-                    "sweet_spot_rules": assertions.sweet_spot_rules,
-                }.items()
-            ],
+            rules.assertion(assertions.bedroom_pricing(enriched), "enriched", "bedroom_pricing"),
         ]
     )
 

@@ -65,9 +65,18 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
     return enriched_plan.enriched_listings(staged(spark, folder))
 
 
+# What the statistics read of a staged listing.
+STATS_INPUT = [
+    "neighbourhood", "latitude", "longitude", "dist_to_archives_km", "value_zone",
+    "price_ksh", "bedrooms", "scraped_date",
+]
+
+
 def stats(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spool(enriched(spark, folder))
-    return marts.neighbourhood_stats(rows, asof(spark, folder))
+    rows = spool(staging.staged_listings(raw(spark, folder)).select(STATS_INPUT))
+    return marts.neighbourhood_stats(
+        enriched_plan.enriched_listings(rows), asof(spark, folder)
+    )
 
 
 def finder(spark: SparkSession, folder: str) -> DataFrame:

@@ -80,12 +80,11 @@ def j3(spark, folder):
     fact = gold.listings_fact(rows)
     places = spool(gold.neighbourhood_dimension(rows)).select("neighbourhood", "value_zone")
     days = base.calendar(spark, folder).select("date_day", "month_year")
-    # The delivery number tells deliveries apart in `rows` only.
     return (
         fact.join(days, fact["scraped_date"] == days["date_day"])
         .join(places, "neighbourhood")
         .select(
-            F.split_part("property_id", F.lit("/"), F.lit(1)).alias("property_id"),
+            "property_id",
             F.col("price_ksh").cast("int").alias("price_ksh"),
             "month_year",
             "value_zone",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.operators.dedupe import latest_per_key
 from rentlens.operators.filters import quality_gate
 from rentlens.operators.spool import spool
 from rentlens.plans import gold, marts, staging
@@ -57,10 +56,8 @@ def q7(spark, folder):
 
 def every_delivery(spark, folder) -> DataFrame:
     """Enriched rows of all deliveries, not only the latest of each listing."""
-    rows = quality_gate(base.raw(spark, folder)).withColumn(
-        "property_id", F.concat_ws("/", "property_id", "arrival_seq")
-    )
-    return spool(enriched_listings(spool(staging.staged_listings(rows))))
+    rows = staging.cleaned_rows(quality_gate(base.raw(spark, folder)))
+    return spool(enriched_listings(spool(rows)))
 
 
 def monthly(spark, folder) -> DataFrame:

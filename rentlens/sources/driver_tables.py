@@ -12,8 +12,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Stated, so that no job runs to read schemas.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string"
+    ),
+    "pages": "page_id long, url string, html string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +58,7 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     key, nkey, okey = F.col("o_custkey"), F.col("n_nationkey"), F.col("o_orderkey")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.col("o_orderdate").cast("date").cast("string")
     divisor = (
         F.when(nkey % 4 == 0, 4).when(nkey % 4 == 1, 8).when(nkey % 4 == 2, 16).otherwise(24)
     )

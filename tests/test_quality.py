@@ -174,3 +174,20 @@ def test_batch_casts_text_columns(spark, tmp_path):
 
 def test_suites_name_only_known_labels(spark):
     assert len(suites.batch_cleaned_rules()) == 5 and "Unknown" in config.VALUE_ZONES
+
+
+def test_rules_counted_while_writing(spark, tmp_path):
+    wanted = [rules.row_count_over(0), rules.complete("k"), rules.complete("z", "warn")]
+    rows = table(spark, [("a", 1, None, None), (None, 2, None, None)])
+    watched, report = rules.observe(rows, "t", wanted)
+    watched.write.parquet(str(tmp_path / "out"))
+    direct = [r.asDict() for r in rules.evaluate(rows, "t", wanted).collect()]
+    assert report() == direct
+    assert [r["status"] for r in direct] == ["pass", "fail", "warn"]
+
+
+def test_empty_batch_halts(spark, tmp_path):
+    raw, cleaned, stamp = tables(spark, tmp_path)
+    for empty in (batch_rows(spark).filter("1 = 0"), batch_rows(spark).filter("price_ksh < 0")):
+        with pytest.raises(gates.QualityError, match="row_count > 100"):
+            batch_job.load_batch(empty, raw, cleaned, 1, stamp)
