@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rentlens.session import shared_folder
 
@@ -17,7 +17,17 @@ def spool(df: DataFrame) -> DataFrame:
     result is broadcast only when its files are below the broadcast threshold.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/spool/{app}/{uuid.uuid4().hex}"
+    path = f"{spool_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spool_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/spool/{spark.sparkContext.applicationId}"
+
+
+def clear_spool(spark: SparkSession) -> None:
+    """Delete what this application spooled, once its results are stored."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(spool_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

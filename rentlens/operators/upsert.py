@@ -60,7 +60,10 @@ class KeyedTable:
         fs.create(hadoop_path(f"{self._folder(version)}/_SUCCESS"), True).close()
 
     def read(self) -> DataFrame:
-        versions = self._all_versions()
+        numbers = self._version_numbers()
+        if len(numbers) == 1:
+            return self.staged(numbers[0])
+        versions = self._versions(numbers)
         # Newest version per key by partial maxima, then a semi join: a key with
         # very many rows is split by the adaptive skew join, never gathered.
         newest = versions.groupBy(*self.keys).agg(F.max("version").alias("version"))
@@ -76,15 +79,14 @@ class KeyedTable:
     def last_version(self) -> int:
         return max(self._version_numbers(), default=0)
 
-    def _all_versions(self) -> DataFrame:
+    def _versions(self, numbers: list[int]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
-        complete = self._version_numbers()
-        if not complete:
+        if not numbers:
             return self.spark.createDataFrame([], schema)
         return (
             self.spark.read.option("basePath", self.path)
             .schema(schema)
-            .parquet(*[self._folder(v) for v in complete])
+            .parquet(*[self._folder(v) for v in numbers])
         )
 
     def _folder(self, version: int) -> str:

@@ -69,10 +69,11 @@ def canonical_listings(
     """Records with a location, parsed and resolved.
 
     Parsing may have read HTML in Python, so its rows are written once: the texts
-    to resolve and the join back both read that copy.
+    to resolve and the join back both read that copy. The resolved texts are
+    spooled too: while few, they are broadcast, and no listing is shuffled.
     """
     rows = spool(parsed(raw, stamp, s).filter(F.col("location_raw") != ""))
-    resolved = resolve_texts(distinct_texts(rows), cache, lookup, s)
+    resolved = spool(resolve_texts(distinct_texts(rows), cache, lookup, s))
     columns = [c for c in CANONICAL_COLUMNS if c != "ingested_at"]
     return with_place(rows, resolved, s).select(columns)
 

@@ -232,10 +232,12 @@ def f3d(spark, folder):
     )
 
 
-@query("f3e_current_stamp")
+@query("f3e_current_stamp", "SELECT o_orderkey, o_orderdate < now() AS is_past FROM orders")
 def f3e(spark, folder):
-    """Changes with the clock, so only its rows are checked."""
-    return table(spark, folder, "nation").select("n_nationkey", dates.now_utc().alias("stamp"))
+    """The stamp itself changes with the clock; whether orders lie before it does not."""
+    return table(spark, folder, "orders").select(
+        "o_orderkey", (F.col("o_orderdate") < dates.now_utc()).alias("is_past")
+    )
 
 
 @query(
@@ -362,42 +364,11 @@ def f12(spark, folder):
     return lines.withColumn("bedrooms", parse.bedrooms(F.col("title"), F.lit(None)))
 
 
-# Vincenty's inverse unrolled in SQL, on points spread over the city.
-def f14_sql() -> str:
-    rounds, squash = 6, "(1 - 1/298.257223563e0)"
-    steps = ["""p0 AS (SELECT o_orderkey, -1.6e0 + (o_orderkey % 700) / 1000e0 AS lat,
-                36.4e0 + (o_custkey % 900) / 1000e0 AS lon FROM orders)""",
-             f"""s0 AS (SELECT o_orderkey, lat, lon, atan({squash} * tan(radians(-1.285e0))) AS u1, atan({squash} * tan(radians(lat))) AS u2,
-                radians(lon) - radians(36.8258e0) AS delta,
-                radians(lon) - radians(36.8258e0) AS lam FROM p0)"""]
-    trig = """sqrt(pow(cos(u2)*sin(lam), 2) + pow(cos(u1)*sin(u2) - sin(u1)*cos(u2)*cos(lam), 2)) AS ss,
-              sin(u1)*sin(u2) + cos(u1)*cos(u2)*cos(lam) AS cs"""
-    alpha = "cos(u1)*cos(u2)*sin(lam)/ss AS sa, atan2(ss, cs) AS sigma"
-    mid = "cs - 2*sin(u1)*sin(u2)/(1 - sa*sa) AS mid, 1 - sa*sa AS c2"
-    f = "(1/298.257223563e0)"
-    for i in range(rounds + 1):
-        steps += [
-            f"t{i} AS (SELECT *, {trig} FROM s{i})",
-            f"a{i} AS (SELECT *, {alpha} FROM t{i})",
-            f"m{i} AS (SELECT *, {mid} FROM a{i})",
-        ]
-        if i < rounds:
-            steps.append(
-                f"""s{i + 1} AS (SELECT o_orderkey, lat, lon, u1, u2, delta,
-                delta + (1 - c) * {f} * sa * (sigma + c*ss*(mid + c*cs*(2*mid*mid - 1))) AS lam
-                FROM (SELECT *, {f}/16*c2*(4 + {f}*(4 - 3*c2)) AS c FROM m{i}))"""
-            )
-    b = "(6378137e0 * (1 - 1/298.257223563e0))"
-    return f"""WITH {', '.join(steps)}
-      SELECT o_orderkey, {rounded(f"{b}/1000e0 * big * (sigma - gap)", 3)} AS km FROM (
-        SELECT *, small*ss*(mid + small/4*(cs*(2*mid*mid - 1)
-                 - small/6*mid*(4*ss*ss - 3)*(4*mid*mid - 3))) AS gap FROM (
-          SELECT *, 1 + us/16384e0*(4096 + us*(-768 + us*(320 - 175*us))) AS big,
-                 us/1024e0*(256 + us*(-128 + us*(74 - 47*us))) AS small FROM (
-            SELECT *, c2*(6378137e0*6378137e0 - {b}*{b})/({b}*{b}) AS us FROM m{rounds})))"""
-
-
-@query("f14_geodesic_km", f14_sql())
+POINTS = """(SELECT o_orderkey, -1.6e0 + (o_orderkey % 700) / 1000e0 AS lat,
+  36.4e0 + (o_custkey % 900) / 1000e0 AS lon FROM orders)"""
+
+
+@query("f14_geodesic_km", layers.vincenty_sql(POINTS, "o_orderkey", "km"))
 def f14(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     lat = F.lit(-1.6) + (F.col("o_orderkey") % 700) / F.lit(1000.0)

@@ -14,7 +14,7 @@ from rentlens.registry import base
 from rentlens.registry.base import query
 from rentlens.registry.filters import STAGE, TARGET
 from rentlens.registry.joins import NAMES_SQL, cache_rows, estates, lookup_rows
-from rentlens.registry.layers import CLEAN, over
+from rentlens.registry.layers import CLEAN, over, vincenty_sql
 from rentlens.schema import CANONICAL, CANONICAL_COLUMNS
 from rentlens.session import shared_folder
 from rentlens.sources import cards, envelope, tables
@@ -57,7 +57,10 @@ def s1(spark, folder):
         F.date_trunc("year", arrival).alias("_stamp"),
     )
     tables.write_archive(
-        rows.select(CANONICAL_COLUMNS + envelope.METADATA + ["_stamp"]), path, F.col("_stamp")
+        rows.select(CANONICAL_COLUMNS + envelope.METADATA + ["_stamp"]),
+        path,
+        F.col("_stamp"),
+        files_per_hour=2,
     )
     return tables.read_archive(spark, path).filter(F.col("year") >= "1997")
 
@@ -336,10 +339,17 @@ def q11(spark, folder):
 
 @query(
     "q11_distances",
-    None,
+    vincenty_sql(
+        f"""(WITH {CARDS} SELECT 'brk-' || substr(md5(url), 1, 12) AS property_id,
+          CASE WHEN nkey % 3 <> 0 THEN nkey / -100e0 WHEN nkey % 6 = 0 THEN nkey / -200e0 END AS lat,
+          CASE WHEN nkey % 3 <> 0 THEN nkey + 36.5e0 WHEN nkey % 6 = 0 THEN nkey + 36.0e0 END AS lon
+        FROM cards)""",
+        "property_id, lon AS longitude",
+        "dist_to_archives_km",
+    ),
 )
 def q11_distances(spark, folder):
-    """The same listings with their distances, which tests check against known ones."""
+    """The same listings with their distances."""
     found = cards.listing_cards(card_pages(spark, folder))
     listings = canonical.canonical_listings(
         found, cache_rows(spark, folder), lookup_rows(spark, folder)

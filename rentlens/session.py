@@ -7,10 +7,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on: UTC days and a shared folder for spooled tables."""
+    """Pin what jobs depend on: UTC days, a shared folder for spooled tables, and
+    streaming state that may outgrow the heap."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     shared_folder(spark)
     return spark
 

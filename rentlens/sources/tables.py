@@ -32,14 +32,23 @@ def read_archive(
     return spark.read.schema(archive_schema(payload)).json(path)
 
 
-def write_archive(rows: DataFrame, path: str, stamp: Column, mode: str = "append") -> None:
-    """One NDJSON directory per hour of `stamp`."""
-    (
-        rows.withColumns(archive_partitions(stamp))
-        .write.mode(mode)
-        .partitionBy(*ARCHIVE_PARTITIONS)
-        .json(path)
-    )
+def write_archive(
+    rows: DataFrame,
+    path: str,
+    stamp: Column,
+    mode: str = "append",
+    files_per_hour: int | None = None,
+) -> None:
+    """One NDJSON directory per hour of `stamp`.
+
+    Rows of many hours leave a file per task and hour; `files_per_hour` deals each
+    hour's rows to that many tasks instead, so a busy hour is still spread out.
+    """
+    parted = rows.withColumns(archive_partitions(stamp))
+    if files_per_hour:
+        deal = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_hour))
+        parted = parted.repartition(*ARCHIVE_PARTITIONS, deal)
+    parted.write.mode(mode).partitionBy(*ARCHIVE_PARTITIONS).json(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
