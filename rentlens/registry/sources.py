@@ -406,10 +406,7 @@ BATCHED = f"""SELECT {CLEAN}, ingested_at, '2026-01-01 00:00:00' AS batch_cleane
   FROM (SELECT * FROM {{source}} WHERE property_id IS NOT NULL AND trim(property_id) <> ''
           AND location_raw IS NOT NULL AND price_ksh BETWEEN 3000 AND 2000000
         QUALIFY row_number() OVER (PARTITION BY property_id
-          ORDER BY ingested_at DESC, scraped_at DESC, source_url DESC, location_raw DESC,
-            neighbourhood DESC NULLS LAST, latitude DESC, longitude DESC,
-            dist_to_archives_km DESC NULLS LAST, price_raw DESC, price_ksh DESC,
-            bedrooms DESC, bathrooms DESC) = 1)"""
+          ORDER BY ingested_at DESC, scraped_at DESC) = 1)"""
 
 
 @query(

@@ -91,7 +91,12 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
         .alias("property_type"),
         F.col("c_name").alias("title"),
         F.concat(
-            day, F.lit("T23:"), F.lpad((okey % 60).cast("string"), 2, "0"), F.lit(":00+00:00")
+            day,
+            F.lit("T23:"),
+            F.lpad((okey % 60).cast("string"), 2, "0"),
+            F.lit(":"),
+            F.lpad((F.floor(okey / 60) % 60).cast("string"), 2, "0"),
+            F.lit("+00:00"),
         ).alias("ingested_at"),
         F.col("o_orderdate").alias("firehose_arrival_at"),
         okey.alias("arrival_seq"),
