@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,3 +92,13 @@ def verdict(sweet_pct: Column, distance: Column, median: Column) -> Column:
         .when((distance > 12) & (median < 20_000), "Budget Commuter")
         .otherwise("Average")
     )
+
+
+def max_label(label: Column, labels: Sequence[str]) -> Column:
+    """Alphabetical maximum over a closed set of labels, as an aggregate.
+
+    It compares positions: a maximum of text would make Spark sort all rows
+    instead of hashing them.
+    """
+    ordered = F.array(*[F.lit(v) for v in sorted(labels)])
+    return F.get(ordered, F.max(F.array_position(ordered, label)).cast("int") - 1)

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.functions import dates, numeric
+from rentlens.config import COMMUTE_TIERS, VALUE_ZONES
+from rentlens.functions import classify, dates, numeric
 
 
 def date_dimension(
@@ -50,9 +51,9 @@ def neighbourhood_dimension(enriched: DataFrame, asof: Column | None = None) ->
             F.max("latitude").alias("latitude"),
             F.max("longitude").alias("longitude"),
             F.max("dist_to_archives_km").alias("dist_to_archives_km"),
-            F.max("commute_tier").alias("commute_tier"),
+            classify.max_label(F.col("commute_tier"), COMMUTE_TIERS).alias("commute_tier"),
             # The alphabetically last zone: zones vary within a neighbourhood.
-            F.max("value_zone").alias("value_zone"),
+            classify.max_label(F.col("value_zone"), VALUE_ZONES).alias("value_zone"),
             numeric.affordability(F.avg("price_ksh"), F.max("dist_to_archives_km")).alias(
                 "affordability_index"
             ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentlens.config import DEFAULTS, Settings
+from rentlens.config import COMMUTE_TIERS, DEFAULTS, VALUE_ZONES, Settings
 from rentlens.functions import classify, dates, numeric, text
 from rentlens.operators.filters import chartable, supported
 from rentlens.operators.percentiles import grouped_percentiles
@@ -58,8 +58,8 @@ def neighbourhood_stats(
         F.max("latitude").alias("latitude"),
         F.max("longitude").alias("longitude"),
         F.max("dist_to_archives_km").alias("dist_to_archives_km"),
-        F.max("commute_tier").alias("commute_tier"),
-        F.max("value_zone").alias("value_zone"),
+        classify.max_label(F.col("commute_tier"), COMMUTE_TIERS).alias("commute_tier"),
+        classify.max_label(F.col("value_zone"), VALUE_ZONES).alias("value_zone"),
         F.round(F.avg(price)).alias("avg_rent_ksh"),
         F.min(price).alias("min_rent_ksh"),
         F.max(price).alias("max_rent_ksh"),

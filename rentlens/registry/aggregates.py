@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rentlens.functions import numeric
+from rentlens.config import COMMUTE_TIERS, VALUE_ZONES
+from rentlens.functions import classify, numeric
 from rentlens.operators import filters, profile
 from rentlens.operators.dedupe import latest_by_aggregate
 from rentlens.operators.percentiles import grouped_percentiles
@@ -177,12 +178,15 @@ def a10(spark, folder):
     ),
 )
 def a11(spark, folder):
-    columns = ["latitude", "commute_tier", "value_zone"]
     return (
         base.enriched(spark, folder)
         .dropna(subset=["neighbourhood"])
         .groupBy("neighbourhood")
-        .agg(*[F.max(c).alias(c) for c in columns])
+        .agg(
+            F.max("latitude").alias("latitude"),
+            classify.max_label(F.col("commute_tier"), COMMUTE_TIERS).alias("commute_tier"),
+            classify.max_label(F.col("value_zone"), VALUE_ZONES).alias("value_zone"),
+        )
     )
 
 

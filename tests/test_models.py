@@ -136,6 +136,14 @@ def test_plans(spark):
     assert "GreaterThan(price_ksh,50000)" in pruned
 
 
+def test_statistics_hash_rather_than_sort(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(marts, "with_ranks", lambda df, *rest: seen.append(df) or df)
+    marts.neighbourhood_stats(enriched.enriched_listings(spool(staging.staged_listings(base.raw(spark, SMALL)))))
+    assert "SortAggregate" not in plan_of(seen[0])
+    assert "SortAggregate" not in plan_of(gold.neighbourhood_dimension(base.enriched(spark, SMALL)))
+
+
 @pytest.mark.parametrize("part", ["NestedLoop", "Cartesian"])
 def test_no_cross_joins(spark, part):
     listings = spool(enriched.enriched_listings(spool(staging.staged_listings(base.raw(spark, SMALL)))))
