@@ -35,7 +35,7 @@ def with_ranks(
     base = spool(df)
     if base.count() <= single_window_rows:
         return base.withColumns(
-            {r.alias: F.rank().over(Window.orderBy(r.order())) for r in ranks}
+            {r.alias: F.rank().over(Window.orderBy(r.order())).cast("long") for r in ranks}
         )
     for r in ranks:
         base = _ranked_by_ranges(base, r)
@@ -69,7 +69,7 @@ def _ranked_by_ranges(df: DataFrame, r: RankBy) -> DataFrame:
         .withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
         .select(
             F.col(r.column).alias("_key"),
-            (F.col("_start") + F.col("_before") + 1).cast("int").alias(r.alias),
+            (F.col("_start") + F.col("_before") + 1).alias(r.alias),
         )
     )
     return df.join(ranked, df[r.column].eqNullSafe(ranked["_key"]), "left").drop("_key")

@@ -145,7 +145,9 @@ def rank_one_benchmarks(stats: DataFrame) -> DataFrame:
     )
 
 
-def score_deviation(finder: DataFrame, s: Settings = DEFAULTS, tolerance: float = 0.02) -> DataFrame:
+def score_deviation(
+    finder: DataFrame, s: Settings = DEFAULTS, tolerance: float = 0.02
+) -> DataFrame:
     expected = composite_score(
         F.col("price_rank"), F.col("distance_rank"), F.col("consistency_rank"), s
     )

@@ -277,7 +277,7 @@ def p15(spark, folder):
 
 # Order is not compared, so each sorted result carries its position.
 def positions(df, *order):
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 @query(

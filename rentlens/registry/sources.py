@@ -317,6 +317,16 @@ def s12(spark, folder):
     return cards.listing_cards(card_pages(spark, folder)).drop("position")
 
 
+@query(
+    "f13_bathroom_parser",
+    f"WITH {CARDS} SELECT card_bathrooms, count(*) AS cards FROM cards GROUP BY 1",
+)
+def f13(spark, folder):
+    """Counts by the bathrooms read from the tagged spans of each card."""
+    found = cards.listing_cards(card_pages(spark, folder))
+    return found.groupBy("card_bathrooms").agg(F.count("*").alias("cards"))
+
+
 @query(
     "q11_canonical_from_cards",
     f"""WITH {CARDS} SELECT 'brk-' || substr(md5(url), 1, 12) AS property_id, url AS source_url,

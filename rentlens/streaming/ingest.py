@@ -33,7 +33,9 @@ HISTORY_SCHEMA = T.StructType(
 HISTORY_KEYS = ["property_id", "scraped_date"]
 
 
-def accepted_records(records: DataFrame, stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def accepted_records(
+    records: DataFrame, stamp: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Ingestion: records with the required fields, stamped; and the rejects."""
     accepted, rejected = split_required(records)
     return (
