@@ -98,14 +98,13 @@ def highest_possible(a: Text, b: Text) -> float:
     cannot be longer than the letters both texts hold."""
     if not len(a) or not len(b):
         return 0.0
-    if a.unique & b.unique:
-        return 100.0
     shared = sum((a.letters & b.letters).values())
     whole = min(100.0, 200.0 * shared / max(1, a.shortest + b.shortest))
+    common_word = bool(a.unique & b.unique)
     if _spread(a, b) < 1.5:
-        return whole
+        return 100.0 if common_word else whole
     partial = min(100.0, 200.0 * shared / max(1, min(a.shortest, b.shortest) + shared))
-    return max(whole, _partial_scale(a, b) * partial)
+    return max(whole, _partial_scale(a, b) * (100.0 if common_word else partial))
 
 
 def _spread(a: Text, b: Text) -> float:

@@ -186,17 +186,17 @@ def s8(spark, folder):
     "SELECT CAST(o_orderkey AS VARCHAR) AS id, 'KSh ' || o_custkey AS price, o_orderstatus AS title FROM orders",
 )
 def s9(spark, folder):
-    """Files that each hold one JSON array of up to 500 records."""
+    """Files that each hold one JSON array of up to 5,000 records."""
     path = scratch(spark, "arrays")
     record = F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.concat(F.lit("KSh "), F.col("o_custkey").cast("string")).alias("price"),
         F.col("o_orderstatus").alias("title"),
     )
-    # Order keys are unique, so a range of 500 keys bounds each array.
+    # Order keys are unique, so a range of 5,000 keys bounds each array.
     arrays = (
         table(spark, folder, "orders")
-        .groupBy(F.floor(F.col("o_orderkey") / 500).alias("chunk"))
+        .groupBy(F.floor(F.col("o_orderkey") / 5000).alias("chunk"))
         .agg(F.to_json(F.collect_list(record)).alias("value"))
     )
     arrays.write.partitionBy("chunk").text(path)
