@@ -430,7 +430,9 @@ def u3(spark, folder):
         f"""SELECT property_id, ingested_at, origin FROM (
               SELECT *, 'stream' AS origin FROM {TARGET} UNION ALL
               SELECT *, 'batch' FROM {STAGE})
-            QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY ingested_at DESC, scraped_at DESC) = 1""",
+            QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY ingested_at DESC, scraped_at DESC, source_url DESC, location_raw DESC,
+            neighbourhood DESC NULLS LAST, latitude DESC, longitude DESC,
+            dist_to_archives_km DESC NULLS LAST, price_raw DESC, price_ksh DESC) = 1""",
     ),
 )
 def u3_ingestion(spark, folder):

@@ -254,7 +254,9 @@ def st6(spark, folder):
                  WHEN price_ksh < 50000 AND dist_to_archives_km <= 8.0 THEN 'Sweet Spot'
                  WHEN dist_to_archives_km > 15.0 THEN 'Commuter' ELSE 'Mid-range' END AS value_zone
               FROM {GOOD} WHERE price_ksh BETWEEN 3000 AND 2000000
-              QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY ingested_at DESC, scraped_at DESC) = 1))""",
+              QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY ingested_at DESC, scraped_at DESC, source_url DESC, location_raw DESC,
+            neighbourhood DESC NULLS LAST, latitude DESC, longitude DESC,
+            dist_to_archives_km DESC NULLS LAST, price_raw DESC, price_ksh DESC) = 1))""",
     ),
 )
 def q12(spark, folder):
