@@ -35,7 +35,7 @@ class Settings:
     passage_chars: int = 192
     #: Bytes coded at once. Every byte of a text is coded, piece by piece.
     piece_bytes: int = 2048
-    level: int = 3
+    level: int = 12
     #: Share of the smallest code by which the second must be larger, else not accepted.
     margin: float = 0.01
 

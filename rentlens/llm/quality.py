@@ -1,6 +1,7 @@
 """Quality classifier: naive Bayes support vectors.
 
-Indicators of hashed n-grams (words, pairs of words, three bytes) are scaled by the log
+Indicators of hashed n-grams (words, pairs of words, three bytes), and of how large a part
+of the pairs repeat one word, are scaled by the log
 ratio of their counts in the two classes; a linear model with hinge loss is fitted to the
 scaled rows by dual coordinate descent; a logistic curve fitted on rows held out of that
 turns its margin into a score.
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 from rentlens.llm import arrays
 
 BITS = 18
-WIDTH = 1 << BITS
+#: Parts of all word pairs, from which on an indicator of its own says so.
+REPEATS = (0.02, 0.05, 0.15, 0.4)
+WIDTH = (1 << BITS) + len(REPEATS)
 THRESHOLD = 0.3
 
 
@@ -66,6 +69,7 @@ def n_grams(column: pa.Array) -> list[np.ndarray]:
     shift = np.uint64(64 - BITS)
     single = (hashed >> shift).astype(np.int32)
     pairs = (arrays.mix(hashed[:-1] * np.uint64(3) + hashed[1:]) >> shift).astype(np.int32)
+    repeats = np.concatenate([[0], np.cumsum(hashed[:-1] == hashed[1:])]) if len(hashed) else np.zeros(1, dtype=np.int64)
     wide = data.astype(np.uint64)
     three = (arrays.mix(wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:]) >> shift).astype(np.int32)
     out = []
@@ -75,6 +79,9 @@ def n_grams(column: pa.Array) -> list[np.ndarray]:
         seen[single[a:b]] = True
         seen[pairs[a : max(a, b - 1)]] = True
         seen[three[bounds[i] : max(bounds[i], bounds[i + 1] - 2)]] = True
+        if b - a > 1:
+            part = (repeats[b - 1] - repeats[a]) / (b - a - 1)
+            seen[1 << BITS :] = [part >= limit for limit in REPEATS]
         found = np.flatnonzero(seen).astype(np.int32)
         seen[found] = False
         out.append(found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import attribution, language, packing, pii, quality
+from rentlens.llm import attribution, language, near_duplicates, packing, pii, quality
 from rentlens.registry.base import Query
 
 QUERIES: dict[str, Query] = {}
@@ -69,3 +69,8 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return attribution.attribute(table(spark, folder, "documents"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.groups(table(spark, folder, "documents"))
