@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import attribution, language, near_duplicates, packing, pii, quality
+from rentlens.llm import attribution, decontaminate, language, near_duplicates, packing, pii, quality
 from rentlens.registry.base import Query
 
 QUERIES: dict[str, Query] = {}
@@ -74,3 +74,39 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.groups(table(spark, folder, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op2_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS passage
+    FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+places AS (
+    SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS passage
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT doc_id, i, n, item_id FROM places JOIN windows USING (n, passage)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
