@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import attribution, decontaminate, language, near_duplicates, packing, pii, quality
+from rentlens.llm import attribution, decontaminate, language, near_duplicates, nearest, packing, passages, pii, quality
 from rentlens.registry.base import Query
 
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,13 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated(table(spark, folder, "documents"))
