@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import attribution, decontaminate, language, near_duplicates, nearest, packing, passages, pii, quality
+from rentlens.llm import (
+    attribution,
+    decontaminate,
+    language,
+    near_duplicates,
+    nearest,
+    packing,
+    passages,
+    pii,
+    quality,
+    training_order,
+)
 from rentlens.registry.base import Query
 
 QUERIES: dict[str, Query] = {}
@@ -120,3 +131,8 @@ def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeated(table(spark, folder, "documents"))
+
+
+@query
+def op9_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    return training_order.materialise(table(spark, folder, "documents"))
