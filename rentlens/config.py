@@ -37,6 +37,8 @@ class Settings:
     # Time.
     local_zone: str = "Africa/Nairobi"
     expiry_days: int = 90
+    # Commits of the history table beyond which old ones are folded into one.
+    history_commits: int = 20
     recency_hours: int = 26
     warn_hours: int = 25
     error_hours: int = 49
@@ -50,10 +52,6 @@ class Settings:
     site_base_url: str = "https://www.buyrentkenya.com"
     id_prefix: str = "brk-"
 
-    # Rows up to which a ranking is one sorted window; larger inputs are
-    # ranked by range partitions instead (operators/ranking.py).
-    single_window_rows: int = 200_000
-
 
 DEFAULTS = Settings()
 

@@ -18,6 +18,8 @@ MINOR_AXIS = MAJOR_AXIS * (1 - FLATTENING)
 # Each round shrinks the error by about the flattening, so six are ample
 # for any two points that are not nearly opposite on the globe.
 ROUNDS = 6
+# Radians that another round may move the longitude; 1e-9 is below a centimetre.
+SETTLED = 1e-9
 
 
 def _let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
@@ -31,7 +33,7 @@ def geodesic_km(lat: Column, lon: Column, origin_lat: float, origin_lon: float)
 
     The fixed-point iteration on the longitude difference is an `aggregate`
     over a short literal array, so no row leaves the JVM. Null coordinates
-    give null.
+    give null, and so do points nearly opposite, where the rounds do not settle.
     """
     reduced = math.atan((1 - FLATTENING) * math.tan(math.radians(origin_lat)))
     sin_u1, cos_u1 = math.sin(reduced), math.cos(reduced)
@@ -101,8 +103,15 @@ def geodesic_km(lat: Column, lon: Column, origin_lat: float, origin_lon: float)
 
     def solve(p: Column) -> Column:
         rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
-        settled = F.aggregate(rounds, p["delta"], refine(p))
-        return on_sphere(p, settled, length)
+        step = refine(p)
+        settled = F.aggregate(rounds, p["delta"], step)
+        return _let(
+            {"lam": settled},
+            lambda at: F.when(
+                F.abs(step(at["lam"], at["lam"]) - at["lam"]) < SETTLED,
+                on_sphere(p, at["lam"], length),
+            ),
+        )
 
     u2 = F.atan((1 - FLATTENING) * F.tan(F.radians(lat)))
     distance = _let(

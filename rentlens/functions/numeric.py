@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 
 def km(col: Column) -> Column:
-    return F.round(col.cast("decimal(12,6)").cast("decimal(10,2)"), 2)
+    """Kilometres with two decimals; null beyond what they can hold."""
+    return F.round(col.try_cast("decimal(12,6)").cast("decimal(10,2)"), 2)
 
 
 def round_to(col: Column, digits: int) -> Column:
-    return F.round(col.cast("decimal(28,8)"), digits).cast(f"decimal(18,{digits})")
+    return F.round(col.try_cast("decimal(28,8)"), digits).try_cast(f"decimal(18,{digits})")
 
 
 def pct_of(value: Column, base: Column) -> Column:

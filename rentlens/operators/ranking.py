@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentlens.config import DEFAULTS
 from rentlens.operators.spool import spool
 
 
@@ -23,20 +22,10 @@ class RankBy:
         return col.desc_nulls_last() if self.descending else col.asc_nulls_last()
 
 
-def with_ranks(
-    df: DataFrame, ranks: Sequence[RankBy], single_window_rows: int = DEFAULTS.single_window_rows
-) -> DataFrame:
-    """Add one global rank per entry.
-
-    A global window sorts all rows in one task. That is right for a handful of
-    groups, so the row count decides: beyond `single_window_rows` every rank is
-    taken over range partitions, with the same result.
-    """
+def with_ranks(df: DataFrame, ranks: Sequence[RankBy]) -> DataFrame:
+    """Add one global rank per entry, taken over range partitions at any size: a global
+    window would sort all rows in one task."""
     base = spool(df)
-    if base.count() <= single_window_rows:
-        return base.withColumns(
-            {r.alias: F.rank().over(Window.orderBy(r.order())).cast("long") for r in ranks}
-        )
     for r in ranks:
         base = _ranked_by_ranges(base, r)
     return base
@@ -73,3 +62,23 @@ def _ranked_by_ranges(df: DataFrame, r: RankBy) -> DataFrame:
         )
     )
     return df.join(ranked, df[r.column].eqNullSafe(ranked["_key"]), "left").drop("_key")
+
+
+def with_positions(df: DataFrame, alias: str, *order: Column) -> DataFrame:
+    """Add each row's place in a total order: the rows of earlier ranges, and its place
+    in its own range. No task sorts more than a range."""
+    ranged = spool(
+        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("_part")
+        .agg(F.count("*").alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (
+        ranged.join(starts, "_part")
+        .withColumn(alias, F.col("_start") + within)
+        .drop("_part", "_start")
+    )

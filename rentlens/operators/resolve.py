@@ -34,22 +34,27 @@ def from_cache(texts: DataFrame, cache: DataFrame) -> DataFrame:
 def from_gazetteer(texts: DataFrame, s: Settings = DEFAULTS, match_case: bool = False) -> DataFrame:
     """Best known place by the weighted scorer, at or above the cutoff.
 
-    Texts are small but slow to score, so they are spread over all tasks by count;
-    left alone, the planner would merge them into few tasks by their bytes.
+    Only equal letters score 100, so a join settles those texts. The others are small but
+    slow to score, so they are spread over all tasks by count; left alone, the planner
+    would merge them into few tasks by their bytes.
     """
     spark = texts.sparkSession
+    places = gazetteer(spark)
+    key, name_key = F.col("raw_string"), F.col("name")
+    if not match_case:
+        key, name_key = F.lower(key), F.lower(name_key)
+    found = ["raw_string", F.col("name").alias("matched_name"), "lat", "lon"]
+    equal = texts.join(places, key == name_key).select(*found, F.lit(100.0).alias("score"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     match = weighted_matches(NAMES, s.fuzzy_cutoff, match_case)
     scored = (
-        texts.repartition(tasks, "raw_string")
+        texts.join(equal, "raw_string", "left_anti")
+        .repartition(tasks, "raw_string")
         .withColumn("_match", match("raw_string"))
         .filter("_match.name IS NOT NULL")
     )
-    places = gazetteer(spark)
-    return scored.join(places, F.col("_match.name") == places["name"]).select(
-        "raw_string", F.col("name").alias("matched_name"), "lat", "lon",
-        F.col("_match.score").alias("score"),
-    )
+    scored = scored.join(places, F.col("_match.name") == places["name"])
+    return equal.unionByName(scored.select(*found, F.col("_match.score").alias("score")))
 
 
 def from_gazetteer_by_edits(texts: DataFrame, s: Settings = DEFAULTS) -> DataFrame:

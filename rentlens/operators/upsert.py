@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,14 +23,33 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFram
     return delete_using(target, stage, keys).select(target.columns).unionByName(stage)
 
 
+@dataclass(frozen=True)
+class Commit:
+    """What one marker says: rows of `attempt` are write `number`, known by `key`."""
+
+    number: int
+    key: str
+    attempt: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.number:012d}.{self.key}.{self.attempt}"
+
+
+FOLDED = "folded"
+
+
 class KeyedTable:
-    """A table of versions, upserted by key without rewriting what is there.
+    """A table of commits, upserted by key without rewriting what is there.
 
-    Each upsert writes only its own rows, into the directory of its version
-    number. Writing a version again replaces that directory, so a retried batch
-    leaves the table as it was. Readers see committed versions only and keep, for
-    each key, the rows of its newest one. `compact_to` writes the current rows
-    out as a fresh table when the old versions have grown.
+    Each write goes into a fresh folder of its own, which readers do not see. One marker
+    file makes it visible as a whole: its name holds the number of the commit, the
+    writer's key for it, and the folder. Until then, and if checks stop it, the table is
+    as it was. A write whose key was committed before takes the place and the number of
+    that commit, so a replayed batch changes nothing; other keys follow after the last.
+
+    Readers list the markers once and keep, for each key of a row, the rows of its newest
+    commit. `compact` folds all but the newest commits into one, so the list stays short.
     """
 
     def __init__(
@@ -38,74 +60,103 @@ class KeyedTable:
         self.keys = list(keys)
         self.schema = schema
 
-    def upsert(self, rows: DataFrame, version: int) -> None:
-        self.stage(rows, version)
-        self.commit(version)
-
-    def stage(self, rows: DataFrame, version: int) -> None:
-        """Write a version that readers do not see yet, so it can be checked first."""
-        (
-            rows.select(self.schema.fieldNames())
-            .write.mode("overwrite")
-            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-            .parquet(self._folder(version))
-        )
+    def upsert(self, rows: DataFrame, key: str | int) -> None:
+        self.commit(self.stage(rows), key)
+
+    def stage(self, rows: DataFrame) -> str:
+        """Write rows that readers do not see yet, so they can be checked first."""
+        attempt = uuid.uuid4().hex
+        rows.select(self.schema.fieldNames()).write.parquet(self._folder(attempt))
+        return attempt
 
-    def staged(self, version: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+    def staged(self, attempt: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._folder(attempt))
 
-    def commit(self, version: int) -> None:
-        """One small marker file makes the version visible as a whole."""
+    def commit(self, attempt: str, key: str | int) -> None:
+        name = re.sub(r"[^A-Za-z0-9_-]", "_", str(key))
+        known = self.commits()
+        before = [c for c in known if c.key == name]
+        number = before[0].number if before else max((c.number for c in known), default=0) + 1
+        self._mark(Commit(number, name, attempt))
+        self._discard(before)
+
+    def commits(self) -> list[Commit]:
+        """What is committed and not folded, by number; one list of small files."""
         fs, hadoop_path = self._file_system()
-        fs.create(hadoop_path(f"{self._folder(version)}/_SUCCESS"), True).close()
+        folder = hadoop_path(f"{self.path}/_log")
+        if not fs.exists(folder):
+            return []
+        marks = sorted(fs.listStatus(folder), key=lambda s: (s.getModificationTime(), s.getPath().getName()))
+        parts = [s.getPath().getName().split(".") for s in marks]
+        # Of two markers of one key, the later one counts: the other is being discarded.
+        newest = {p[1]: Commit(int(p[0]), p[1], p[2]) for p in parts if len(p) == 3}
+        folded = max((c.number for c in newest.values() if c.key == FOLDED), default=0)
+        live = [c for c in newest.values() if c.number > folded or c.key == FOLDED]
+        return sorted(live, key=lambda c: c.number)
 
     def read(self) -> DataFrame:
-        numbers = self._version_numbers()
-        if len(numbers) == 1:
-            return self.staged(numbers[0])
-        versions = self._versions(numbers)
-        # Newest version per key by partial maxima, then a semi join: a key with
-        # very many rows is split by the adaptive skew join, never gathered.
-        newest = versions.groupBy(*self.keys).agg(F.max("version").alias("version"))
-        return versions.join(newest, [*self.keys, "version"], "left_semi").select(
+        commits = self.commits()
+        if not commits:
+            return self.spark.createDataFrame([], self.schema)
+        if len(commits) == 1:
+            return self.staged(commits[0].attempt)
+        numbered = [
+            self.staged(c.attempt).withColumn("_commit", F.lit(c.number)) for c in commits
+        ]
+        rows = numbered[0]
+        for more in numbered[1:]:
+            rows = rows.unionByName(more)
+        # Newest commit per key by partial maxima, then a semi join: a key with very
+        # many rows is split by the adaptive skew join, never gathered.
+        newest = rows.groupBy(*self.keys).agg(F.max("_commit").alias("_commit"))
+        return rows.join(newest, [*self.keys, "_commit"], "left_semi").select(
             self.schema.fieldNames()
         )
 
-    def compact_to(self, path: str) -> KeyedTable:
-        compacted = KeyedTable(self.spark, path, self.schema, self.keys)
-        compacted.upsert(self.read(), self.last_version())
-        return compacted
-
-    def last_version(self) -> int:
-        return max(self._version_numbers(), default=0)
-
-    def _versions(self, numbers: list[int]) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
-        if not numbers:
-            return self.spark.createDataFrame([], schema)
-        return (
-            self.spark.read.option("basePath", self.path)
-            .schema(schema)
-            .parquet(*[self._folder(v) for v in numbers])
-        )
+    def compact(self, keep: int = 1, where: Column | None = None) -> None:
+        """Fold all but the newest `keep` commits into one, with only those of their rows
+        for which `where` holds. The newest stay, since they may be replayed."""
+        commits = self.commits()
+        old = commits[: max(0, len(commits) - keep)]
+        if len(old) < 2:
+            return
+        rows = _Selected(self, old).read()
+        attempt = self.stage(rows if where is None else rows.filter(where))
+        self._mark(Commit(old[-1].number, FOLDED, attempt))
+        self._discard(old)
+
+    def discard(self, attempt: str) -> None:
+        """Delete what was staged and is not to be committed."""
+        fs, hadoop_path = self._file_system()
+        fs.delete(hadoop_path(self._folder(attempt)), True)
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version={int(version):012d}"
+    def _mark(self, commit: Commit) -> None:
+        fs, hadoop_path = self._file_system()
+        fs.create(hadoop_path(f"{self.path}/_log/{commit.name}"), True).close()
 
-    def _version_numbers(self) -> list[int]:
-        """Committed versions, from the directory listing."""
+    def _discard(self, commits: Sequence[Commit]) -> None:
+        """Markers first, so that no reader finds one without its rows."""
         fs, hadoop_path = self._file_system()
-        if not fs.exists(hadoop_path(self.path)):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(hadoop_path(self.path))]
-        return [
-            int(name.split("=")[1])
-            for name in names
-            if name.startswith("version=")
-            and fs.exists(hadoop_path(f"{self.path}/{name}/_SUCCESS"))
-        ]
+        for commit in commits:
+            fs.delete(hadoop_path(f"{self.path}/_log/{commit.name}"), False)
+        for commit in commits:
+            fs.delete(hadoop_path(self._folder(commit.attempt)), True)
+
+    def _folder(self, attempt: str) -> str:
+        return f"{self.path}/attempt={attempt}"
 
     def _file_system(self):
         context = self.spark.sparkContext
         hadoop_path = context._jvm.org.apache.hadoop.fs.Path
         return hadoop_path(self.path).getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+
+
+class _Selected(KeyedTable):
+    """The table as some of its commits make it."""
+
+    def __init__(self, table: KeyedTable, commits: Sequence[Commit]) -> None:
+        super().__init__(table.spark, table.path, table.schema, table.keys)
+        self._commits = list(commits)
+
+    def commits(self) -> list[Commit]:
+        return self._commits

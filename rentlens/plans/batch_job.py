@@ -25,7 +25,8 @@ def load_batch(
     s: Settings = DEFAULTS,
 ) -> None:
     """A version becomes visible only when its rules hold: a bad source leaves both
-    tables alone, a bad result the cleaned one. Running a version again is harmless.
+    tables as they are, a bad result the cleaned one, also when the version was loaded
+    before. Running a version again replaces its rows.
 
     The source is read once and each table written once. Rules are counted while
     writing, and cleaning reads back the typed columns just written.
@@ -35,18 +36,18 @@ def load_batch(
         "source",
         suites.batch_source_rules(min_rows),
     )
-    raw_table.stage(typed, version)
+    attempt = raw_table.stage(typed)
     halt_on_failure(source_report(), "source")
-    raw_table.commit(version)
+    raw_table.commit(attempt, version)
 
     cleaned, cleaned_report = rules.observe(
-        batch_cleaned(raw_table.staged(version), cleaned_at, s),
+        batch_cleaned(raw_table.staged(attempt), cleaned_at, s),
         "cleaned",
         suites.batch_cleaned_rules(s),
     )
-    cleaned_table.stage(cleaned, version)
+    attempt = cleaned_table.stage(cleaned)
     halt_on_failure(cleaned_report(), "cleaned")
-    cleaned_table.commit(version)
+    cleaned_table.commit(attempt, version)
 
 
 def reconciled(streamed: DataFrame, batch: DataFrame) -> DataFrame:

@@ -10,9 +10,10 @@ from rentlens.functions import parse
 from rentlens.functions.dates import now_utc
 from rentlens.functions.text import first_non_empty
 from rentlens.operators.profile import run_summary
-from rentlens.operators.resolve import distinct_texts, resolve_texts, with_place
+from rentlens.operators.resolve import distinct_texts, new_cache_rows, resolve_texts, with_place
 from rentlens.operators.spool import spool
 from rentlens.schema import CANONICAL_COLUMNS, RAW_RECORD
+from rentlens.sources.tables import append_lookup
 
 
 def iso_utc(ts: Column) -> Column:
@@ -65,8 +66,10 @@ def canonical_listings(
     lookup: DataFrame,
     stamp: Column | None = None,
     s: Settings = DEFAULTS,
+    cache_path: str | None = None,
 ) -> DataFrame:
-    """Records with a location, parsed and resolved.
+    """Records with a location, parsed and resolved. With `cache_path`, what was learned is
+    appended to the cache there, so that a later run does not resolve it again.
 
     Parsing may have read HTML in Python, so its rows are written once: the texts
     to resolve and the join back both read that copy. The resolved texts are
@@ -74,6 +77,8 @@ def canonical_listings(
     """
     rows = spool(parsed(raw, stamp, s).filter(F.col("location_raw") != ""))
     resolved = spool(resolve_texts(distinct_texts(rows), cache, lookup, s))
+    if cache_path is not None:
+        append_lookup(new_cache_rows(resolved), cache_path)
     columns = [c for c in CANONICAL_COLUMNS if c != "ingested_at"]
     return with_place(rows, resolved, s).select(columns)
 

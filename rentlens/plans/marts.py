@@ -31,7 +31,14 @@ def count_where(condition: Column) -> Column:
 def neighbourhood_stats(
     enriched: DataFrame, asof: Column | None = None, s: Settings = DEFAULTS
 ) -> DataFrame:
-    """One row per neighbourhood with three rankings.
+    """The statistics in their order, for output; other models read `stats_rows`."""
+    return stats_rows(enriched, asof, s).orderBy(F.col("affordability_index").asc_nulls_last())
+
+
+def stats_rows(
+    enriched: DataFrame, asof: Column | None = None, s: Settings = DEFAULTS
+) -> DataFrame:
+    """One row per neighbourhood with three rankings, in no order.
 
     Two aggregates over the same listings, both with partial sums before their
     shuffle and both keyed on the neighbourhood, so joining them adds no shuffle.
@@ -83,9 +90,7 @@ def neighbourhood_stats(
     stats = general.join(spread, "neighbourhood").withColumn(
         "updated_at", asof if asof is not None else dates.now_utc()
     )
-    return with_ranks(stats, STATS_RANKS, s.single_window_rows).orderBy(
-        F.col("affordability_index").asc_nulls_last()
-    )
+    return with_ranks(stats, STATS_RANKS)
 
 
 def composite_score(price: Column, distance: Column, consistency: Column, s: Settings) -> Column:
@@ -98,6 +103,11 @@ def composite_score(price: Column, distance: Column, consistency: Column, s: Set
 
 
 def value_ranking(stats: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """The ranking in its order, for output; other models read `finder_rows`."""
+    return finder_rows(stats, s).orderBy("overall_value_rank")
+
+
+def finder_rows(stats: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Neighbourhoods with enough listings, scored, ranked and labelled."""
     qualified = supported(stats, s).select(
         "neighbourhood", "value_zone", "commute_tier", "dist_to_archives_km", "latitude",
@@ -106,22 +116,20 @@ def value_ranking(stats: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
         "sweet_spot_pct", "affordability_index", "iqr_rent_ksh", "first_seen", "last_seen",
         "updated_at",
     )
-    ranked = with_ranks(qualified, FINDER_RANKS, s.single_window_rows)
+    ranked = with_ranks(qualified, FINDER_RANKS)
     scored = ranked.withColumn(
         "composite_score",
         composite_score(
             F.col("price_rank"), F.col("distance_rank"), F.col("consistency_rank"), s
         ),
     )
-    overall = with_ranks(
-        scored, [RankBy("overall_value_rank", "composite_score")], s.single_window_rows
-    )
+    overall = with_ranks(scored, [RankBy("overall_value_rank", "composite_score")])
     return overall.withColumn(
         "verdict",
         classify.verdict(
             F.col("sweet_spot_pct"), F.col("dist_to_archives_km"), F.col("median_rent_ksh")
         ),
-    ).orderBy("overall_value_rank")
+    )
 
 
 def monthly_metrics(fact: DataFrame, calendar: DataFrame, places: DataFrame) -> DataFrame:
@@ -170,10 +178,14 @@ def by_month() -> Window:
 def rent_trends(
     fact: DataFrame, calendar: DataFrame, places: DataFrame, s: Settings = DEFAULTS
 ) -> DataFrame:
-    """Change against the previous month that has listings."""
-    return with_changes(monthly_metrics(fact, calendar, places), s).orderBy(
-        "neighbourhood", "month_start"
-    )
+    """Change against the previous month that has listings, in order, for output."""
+    return trend_rows(fact, calendar, places, s).orderBy("neighbourhood", "month_start")
+
+
+def trend_rows(
+    fact: DataFrame, calendar: DataFrame, places: DataFrame, s: Settings = DEFAULTS
+) -> DataFrame:
+    return with_changes(monthly_metrics(fact, calendar, places), s)
 
 
 def with_changes(monthly: DataFrame, s: Settings = DEFAULTS) -> DataFrame:

@@ -13,6 +13,7 @@ from rentlens.operators.filters import quality_gate
 STREAM_STAMPS = ["firehose_arrival_at", "ingested_at", "scraped_at"]
 BATCH_STAMPS = ["ingested_at", "scraped_at"]
 
+# The columns of the cleaned table, in its order.
 CLEANED = [
     "property_id", "scraped_at_eat", "scraped_date", "source_url", "location_raw",
     "neighbourhood", "latitude", "longitude", "dist_to_archives_km", "value_zone",
@@ -21,9 +22,12 @@ CLEANED = [
 ]
 
 
-def staged_listings(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """One clean row per listing, from the landed table."""
-    return cleaned_rows(_latest(quality_gate(raw, s), STREAM_STAMPS), s)
+def staged_listings(
+    raw: DataFrame, s: Settings = DEFAULTS, delivery: str | None = None
+) -> DataFrame:
+    """One clean row per listing, from the landed table. `delivery` names a column that
+    numbers the deliveries of a listing without repeats, if the source has one."""
+    return cleaned_rows(_latest(quality_gate(raw, s), STREAM_STAMPS, delivery), s)
 
 
 def cleaned_rows(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
@@ -33,19 +37,19 @@ def cleaned_rows(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 
 
 def batch_cleaned(
-    raw: DataFrame, cleaned_at: Column | None = None, s: Settings = DEFAULTS
+    raw: DataFrame, cleaned_at: Column | None = None, s: Settings = DEFAULTS,
+    delivery: str | None = None,
 ) -> DataFrame:
     """The batch variant: ordered by the ingestion stamp, no arrival column."""
-    latest = _latest(quality_gate(raw, s), BATCH_STAMPS)
+    latest = _latest(quality_gate(raw, s), BATCH_STAMPS, delivery)
     zone = classify.batch_value_zone(F.col("price_ksh"), F.col("dist_to_archives_km"), s)
     stamp = cleaned_at if cleaned_at is not None else dates.now_utc()
     return latest.select(*_clean(zone, s), "ingested_at", stamp.alias("batch_cleaned_at"))
 
 
-def _latest(rows: DataFrame, stamps: list[str]) -> DataFrame:
-    # A delivery number, where the source has one, decides among equal arrivals.
-    if "arrival_seq" in rows.columns:
-        return latest_per_key(rows, ["property_id"], [stamps[0], "arrival_seq"], True)
+def _latest(rows: DataFrame, stamps: list[str], delivery: str | None) -> DataFrame:
+    if delivery is not None:
+        return latest_per_key(rows, ["property_id"], [stamps[0], delivery], True)
     return latest_per_key(rows, ["property_id"], stamps)
 
 

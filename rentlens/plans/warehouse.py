@@ -34,9 +34,9 @@ def build(landed: DataFrame, asof: Column | None = None, s: Settings = DEFAULTS)
     start, end = gold.covering_dates(enriched, "scraped_date")
     calendar = gold.date_dimension(landed.sparkSession, start, end)
     places = spool(gold.neighbourhood_dimension(enriched, asof))
-    fact = gold.listings_fact(enriched, asof)
-    stats = spool(marts.neighbourhood_stats(enriched, asof, s))
-    finder = spool(marts.value_ranking(stats, s))
+    fact = spool(gold.listings_fact(enriched, asof))
+    stats = spool(marts.stats_rows(enriched, asof, s))
+    finder = spool(marts.finder_rows(stats, s))
     return Warehouse(
         landed=landed,
         staged=staged,
@@ -46,15 +46,19 @@ def build(landed: DataFrame, asof: Column | None = None, s: Settings = DEFAULTS)
         fact=fact,
         stats=stats,
         finder=finder,
-        trends=marts.rent_trends(fact, calendar, places, s),
+        trends=marts.trend_rows(fact, calendar, places, s),
         points=marts.price_points(enriched, calendar, s),
     )
 
 
-def quality_report(w: Warehouse, asof: Column, s: Settings = DEFAULTS) -> DataFrame:
-    """One row per rule over every layer."""
+def quality_report(
+    w: Warehouse, asof: Column, s: Settings = DEFAULTS, batch: DataFrame | None = None
+) -> DataFrame:
+    """One row per rule over every layer, and over the batch job's result where given."""
+    extra = [] if batch is None else [suites.batch_report(w.landed, batch, asof, s)]
     return rules.combine(
         [
+            *extra,
             suites.landed_report(w.landed, asof, s),
             suites.staged_report(w.staged, s),
             suites.enriched_report(w.enriched, s),

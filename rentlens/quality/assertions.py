@@ -145,20 +145,24 @@ def rank_one_benchmarks(stats: DataFrame) -> DataFrame:
     )
 
 
+def expected_score(s: Settings = DEFAULTS) -> Column:
+    return composite_score(
+        F.col("price_rank"), F.col("distance_rank"), F.col("consistency_rank"), s
+    )
+
+
+def deviates(s: Settings = DEFAULTS, tolerance: float = 0.02) -> Column:
+    return F.abs(F.col("composite_score") - expected_score(s)) > tolerance
+
+
 def score_deviation(
     finder: DataFrame, s: Settings = DEFAULTS, tolerance: float = 0.02
 ) -> DataFrame:
-    expected = composite_score(
-        F.col("price_rank"), F.col("distance_rank"), F.col("consistency_rank"), s
-    )
-    return (
-        finder.select(
-            "neighbourhood",
-            F.col("composite_score").alias("stored_score"),
-            expected.alias("expected_score"),
-        )
-        .withColumn("deviation", F.abs(F.col("stored_score") - F.col("expected_score")))
-        .filter(F.col("deviation") > tolerance)
+    return finder.filter(deviates(s, tolerance)).select(
+        "neighbourhood",
+        F.col("composite_score").alias("stored_score"),
+        expected_score(s).alias("expected_score"),
+        F.abs(F.col("composite_score") - expected_score(s)).alias("deviation"),
     )
 
 
@@ -177,14 +181,22 @@ def rank_order(finder: DataFrame) -> DataFrame:
     )
 
 
-def verdict_contract(finder: DataFrame) -> DataFrame:
-    columns = ["neighbourhood", "verdict", "sweet_spot_pct", "dist_to_archives_km"]
+# What two of the verdicts promise.
+CONTRACTS = {
+    "Project Star": "sweet_spot_pct >= 60 AND dist_to_archives_km <= 8",
+    "Premium Location": "dist_to_archives_km <= 5 AND median_rent_ksh >= 50000",
+}
 
-    def broken(verdict: str, contract: str) -> DataFrame:
-        return finder.filter((F.col("verdict") == verdict) & ~F.expr(contract)).select(
-            *columns, F.lit(f"{verdict} criteria violated").alias("failure_reason")
-        )
 
-    star = broken("Project Star", "(sweet_spot_pct >= 60 AND dist_to_archives_km <= 8)")
-    premium = broken("Premium Location", "(dist_to_archives_km <= 5 AND median_rent_ksh >= 50000)")
-    return star.unionByName(premium)
+def breaks_contract() -> Column:
+    broken = F.lit(False)
+    for verdict, contract in CONTRACTS.items():
+        broken = broken | ((F.col("verdict") == verdict) & ~F.expr(f"({contract})"))
+    return broken
+
+
+def verdict_contract(finder: DataFrame) -> DataFrame:
+    reason = F.concat(F.col("verdict"), F.lit(" criteria violated")).alias("failure_reason")
+    return finder.filter(breaks_contract()).select(
+        "neighbourhood", "verdict", "sweet_spot_pct", "dist_to_archives_km", reason
+    )

@@ -95,6 +95,36 @@ def evaluate(df: DataFrame, layer: str, rules: Sequence[Rule]) -> DataFrame:
     return _report(totals.select(F.explode(rows).alias("_r")).select("_r.*"), layer)
 
 
+def evaluate_keyed(
+    df: DataFrame, layer: str, rules: Sequence[Rule], *keys: Sequence[str]
+) -> DataFrame:
+    """Rules that count rows, and the uniqueness of keys, in one pass over the table.
+
+    Each key holds all columns of the next one, so rows are grouped by the first and the
+    groups by the others, on the way to the totals. Rows without a full key do not count
+    as repeats.
+    """
+    names = [f"_{i}" for i in range(len(rules))]
+    rows = df.groupBy(*keys[0]).agg(
+        F.count("*").alias("_n"), *[r.failed.cast("long").alias(n) for n, r in zip(names, rules)]
+    )
+    for i, key in enumerate(keys):
+        full = F.lit(True)
+        for column in key:
+            full = full & F.col(column).isNotNull()
+        names.append(f"_unique{i}")
+        rows = rows.withColumn(names[-1], (full & (F.col("_n") > 1)).cast("long"))
+        if i + 1 < len(keys):
+            rows = rows.groupBy(*keys[i + 1]).agg(*[F.sum(n).alias(n) for n in ("_n", *names)])
+    totals = rows.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    unique_rules = [Rule(f"{', '.join(key)} unique", F.lit(0)) for key in keys]
+    lines = [
+        F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.col(n).alias("failed"))
+        for r, n in zip([*rules, *unique_rules], names)
+    ]
+    return _report(totals.select(F.explode(F.array(*lines)).alias("_r")).select("_r.*"), layer)
+
+
 def observe(
     df: DataFrame, layer: str, rules: Sequence[Rule]
 ) -> tuple[DataFrame, Callable[[], list[dict]]]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rentlens import config
 from rentlens.config import DEFAULTS, Settings
 from rentlens.functions.dates import utc_timestamp
-from rentlens.quality import assertions, rules
+from rentlens.quality import assertions, gates, rules
 from rentlens.quality.rules import Rule
 
 
@@ -35,31 +35,43 @@ def landed_report(landed: DataFrame, asof: Column, s: Settings = DEFAULTS) -> Da
         stamped,
         "landed",
         [
+            rules.row_count_over(0),
             rules.complete("scraped_at"),
             rules.complete("firehose_arrival_at", severity="warn"),
             rules.recent_within("observed_at", asof, s.recency_hours),
+            rules.recent_within("firehose_arrival_at", asof, s.warn_hours, severity="warn"),
+            rules.recent_within("firehose_arrival_at", asof, s.error_hours),
         ],
     )
 
 
-def staged_report(staged: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+def batch_report(
+    landed: DataFrame, batch: DataFrame, asof: Column, s: Settings = DEFAULTS
+) -> DataFrame:
+    """The batch job's rules over its result, and the gate on both inputs."""
+    counts = gates.fresh_counts(landed, batch, asof, s)
     return rules.combine(
         [
-            rules.evaluate(
-                staged,
-                "staged",
-                [
-                    rules.complete("property_id"),
-                    rules.in_range("dist_to_archives_km", 0, 100),
-                    rules.in_set("value_zone", config.VALUE_ZONES),
-                    rules.in_range("price_ksh", s.min_price, s.max_price),
-                ],
-            ),
-            rules.unique(staged, "staged", "property_id"),
+            rules.evaluate(batch, "batch", batch_cleaned_rules(s)),
+            rules.assertion(counts.filter(~F.col("is_open")), "batch", "both_inputs_fresh"),
         ]
     )
 
 
+def staged_report(staged: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    return rules.evaluate_keyed(
+        staged,
+        "staged",
+        [
+            rules.complete("property_id"),
+            rules.in_range("dist_to_archives_km", 0, 100),
+            rules.in_set("value_zone", config.VALUE_ZONES),
+            rules.in_range("price_ksh", s.min_price, s.max_price),
+        ],
+        ["property_id"],
+    )
+
+
 def enriched_report(enriched: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     median, pct = F.col("neighbourhood_median_ksh"), F.col("price_vs_neighbourhood_median")
     return rules.combine(
@@ -91,27 +103,47 @@ def enriched_report(enriched: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 def star_report(
     enriched: DataFrame, fact: DataFrame, calendar: DataFrame, places: DataFrame
 ) -> DataFrame:
+    """The fact meets its parents before it is counted, so both relationships and both
+    keys ride on the pass of its rules."""
+    place = places.select(F.col("neighbourhood").alias("_place")).distinct()
+    day = calendar.select(F.col("date_day").alias("_day")).distinct()
+    met = (
+        fact.select("property_id", "price_ksh", "neighbourhood", "scraped_date")
+        .join(place, F.col("neighbourhood") == F.col("_place"), "left")
+        .join(day, F.col("scraped_date") == F.col("_day"), "left")
+    )
+
+    def orphaned(column: str, parent: str) -> rules.Rule:
+        without = F.col(column).isNotNull() & F.col(parent).isNull()
+        return rules.none_of(f"{column} has parent", without)
+
     return rules.combine(
         [
-            rules.evaluate(
-                fact, "fact", [rules.complete("property_id"), rules.complete("price_ksh")]
+            rules.evaluate_keyed(
+                met,
+                "fact",
+                [
+                    rules.complete("property_id"),
+                    rules.complete("price_ksh"),
+                    orphaned("neighbourhood", "_place"),
+                    orphaned("scraped_date", "_day"),
+                ],
+                ["property_id", "scraped_date"],
+                ["property_id"],
             ),
-            rules.unique(fact, "fact", "property_id"),
-            rules.unique(fact, "fact", "property_id", "scraped_date"),
-            rules.relationship(fact, places, "fact", "neighbourhood", "neighbourhood"),
-            rules.relationship(fact, calendar, "fact", "scraped_date", "date_day"),
             rules.assertion(assertions.leakage(enriched, fact), "fact", "leakage"),
-            rules.evaluate(calendar, "calendar", [rules.complete("date_day")]),
-            rules.unique(calendar, "calendar", "date_day"),
-            rules.evaluate(
+            rules.evaluate_keyed(
+                calendar, "calendar", [rules.complete("date_day")], ["date_day"]
+            ),
+            rules.evaluate_keyed(
                 places,
                 "places",
                 [
                     rules.complete("neighbourhood"),
                     rules.in_set("commute_tier", config.COMMUTE_TIERS),
                 ],
+                ["neighbourhood"],
             ),
-            rules.unique(places, "places", "neighbourhood"),
         ]
     )
 
@@ -122,27 +154,35 @@ def marts_report(
 ) -> DataFrame:
     return rules.combine(
         [
-            rules.evaluate(
-                stats, "stats", [rules.complete("neighbourhood"), rules.complete("value_rank")]
+            rules.evaluate_keyed(
+                stats,
+                "stats",
+                [rules.complete("neighbourhood"), rules.complete("value_rank")],
+                ["neighbourhood"],
             ),
-            rules.unique(stats, "stats", "neighbourhood"),
             rules.assertion(
                 assertions.rank_one_benchmarks(stats), "stats", "rank_one_benchmarks"
             ),
-            rules.evaluate(finder, "finder", finder_rules(s)),
-            rules.unique(finder, "finder", "neighbourhood"),
-            rules.assertion(assertions.score_deviation(finder), "finder", "score_deviation"),
+            rules.evaluate_keyed(
+                finder,
+                "finder",
+                [
+                    *finder_rules(s),
+                    rules.none_of("score_deviation", assertions.deviates(s)),
+                    rules.none_of("verdict_contract", assertions.breaks_contract()),
+                ],
+                ["neighbourhood"],
+            ),
             rules.assertion(assertions.rank_order(finder), "finder", "rank_order"),
-            rules.assertion(assertions.verdict_contract(finder), "finder", "verdict_contract"),
             rules.evaluate(
                 trends, "trends", [rules.complete("neighbourhood"), rules.complete("month_start")]
             ),
-            rules.evaluate(
+            rules.evaluate_keyed(
                 points,
                 "points",
                 [rules.complete("property_id"), rules.complete("dist_to_archives_km")],
+                ["property_id"],
             ),
-            rules.unique(points, "points", "property_id"),
         ]
     )
 

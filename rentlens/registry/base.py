@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from rentlens.operators.spool import spool
 from rentlens.plans import enriched as enriched_plan
 from rentlens.plans import gold, marts, staging
+from rentlens.schema import LANDED
 from rentlens.session import prepare
 from rentlens.sources import driver_tables
 
@@ -57,8 +58,13 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
     return driver_tables.listings(spark, folder)
 
 
+def landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns that a landed table has, and no other."""
+    return raw(spark, folder).select(LANDED.fieldNames())
+
+
 def staged(spark: SparkSession, folder: str) -> DataFrame:
-    return spool(staging.staged_listings(raw(spark, folder)))
+    return spool(staging.staged_listings(landed(spark, folder)))
 
 
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,14 +79,14 @@ STATS_INPUT = [
 
 
 def stats(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spool(staging.staged_listings(raw(spark, folder)).select(STATS_INPUT))
-    return marts.neighbourhood_stats(
+    rows = spool(staging.staged_listings(landed(spark, folder)).select(STATS_INPUT))
+    return marts.stats_rows(
         enriched_plan.enriched_listings(rows), asof(spark, folder)
     )
 
 
 def finder(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.value_ranking(stats(spark, folder))
+    return marts.finder_rows(stats(spark, folder))
 
 
 def calendar(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rentlens.config import COMMUTE_TIERS, VALUE_ZONES
@@ -10,10 +9,11 @@ from rentlens.functions import numeric, text
 from rentlens.functions.convert import record_json
 from rentlens.operators import filters, upsert
 from rentlens.operators.dedupe import merge_latest
+from rentlens.operators.ranking import with_positions
 from rentlens.plans.batch_job import reconciled
 from rentlens.plans.canonical import first_records
 from rentlens.quality import assertions
-from rentlens.registry import base
+from rentlens.registry import base, models
 from rentlens.registry.base import query
 from rentlens.registry.layers import over
 from rentlens.schema import CANONICAL_COLUMNS
@@ -276,10 +276,6 @@ def p15(spark, folder):
 
 
 # Order is not compared, so each sorted result carries its position.
-def positions(df, *order):
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
-
-
 @query(
     "o1_by_index_nulls_last",
     over(
@@ -291,40 +287,37 @@ def positions(df, *order):
 )
 def o1(spark, folder):
     index = F.col("affordability_index").asc_nulls_last()
-    ordered = base.stats(spark, folder).orderBy(index, "neighbourhood")
-    return positions(
-        ordered.select("neighbourhood", "affordability_index"), index, F.col("neighbourhood")
-    )
+    rows = base.stats(spark, folder).select("neighbourhood", "affordability_index")
+    return with_positions(rows, "position", index, F.col("neighbourhood").asc())
 
 
 @query(
     "o2_by_overall_rank",
     over(
         "finder",
-        """SELECT neighbourhood, overall_value_rank FROM finder
-           ORDER BY overall_value_rank, neighbourhood""",
+        """SELECT neighbourhood, overall_value_rank, row_number() OVER
+             (ORDER BY overall_value_rank, neighbourhood) AS position FROM finder""",
     ),
 )
 def o2(spark, folder):
-    return (
-        base.finder(spark, folder)
-        .orderBy("overall_value_rank", "neighbourhood")
-        .select("neighbourhood", "overall_value_rank")
-    )
+    rows = base.finder(spark, folder).select("neighbourhood", "overall_value_rank")
+    order = F.col("overall_value_rank").asc(), F.col("neighbourhood").asc()
+    return with_positions(rows, "position", *order)
 
 
 @query(
     "o3_by_group_and_month",
-    """SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n
-       FROM orders GROUP BY 1, 2 ORDER BY 1, 2""",
+    over(
+        "trends",
+        """SELECT neighbourhood, strftime(month_start, '%Y-%m-%d') AS month_start,
+             listing_count, row_number() OVER (ORDER BY neighbourhood, month_start) AS position
+           FROM trends""",
+    ),
 )
 def o3(spark, folder):
-    return (
-        table(spark, folder, "orders")
-        .groupBy("o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-        .agg(F.count("*").alias("n"))
-        .orderBy("o_orderstatus", "month")
-    )
+    rows = models.q8(spark, folder).select("neighbourhood", "month_start", "listing_count")
+    order = F.col("neighbourhood").asc(), F.col("month_start").asc()
+    return with_positions(rows, "position", *order)
 
 
 @query(

@@ -18,7 +18,7 @@ STAGED_TIMES = ("scraped_at_eat", "firehose_arrival_at")
 
 @query("q1_staging", out("stg", ("scraped_date",), STAGED_TIMES))
 def q1(spark, folder):
-    return staging.staged_listings(base.raw(spark, folder))
+    return staging.staged_listings(base.landed(spark, folder))
 
 
 @query("q2_enriched", out("enr", ("scraped_date",), STAGED_TIMES))
@@ -56,7 +56,7 @@ def q7(spark, folder):
 
 def every_delivery(spark, folder) -> DataFrame:
     """Enriched rows of all deliveries, not only the latest of each listing."""
-    rows = staging.cleaned_rows(quality_gate(base.raw(spark, folder)))
+    rows = staging.cleaned_rows(quality_gate(base.landed(spark, folder)))
     return spool(enriched_listings(spool(rows)))
 
 
@@ -73,7 +73,7 @@ def monthly(spark, folder) -> DataFrame:
 def q8(spark, folder):
     rows = every_delivery(spark, folder)
     places = spool(gold.neighbourhood_dimension(rows))
-    return marts.rent_trends(gold.listings_fact(rows), base.calendar(spark, folder), places)
+    return marts.trend_rows(gold.listings_fact(rows), base.calendar(spark, folder), places)
 
 
 @query("q9_price_points", out("points", ("scraped_date",)))

@@ -6,12 +6,13 @@ was broken on purpose in the same way on both sides.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentlens import config
 from rentlens.operators.filters import quality_gate
 from rentlens.operators.spool import spool
-from rentlens.plans import gold, warehouse
+from rentlens.plans import gold, staging, warehouse
 from rentlens.quality import assertions, gates, rules, suites
 from rentlens.registry import base
 from rentlens.registry.base import query
@@ -314,20 +315,25 @@ def d12(spark, folder):
     "d13_both_inputs_fresh",
     over(
         "gated",
-        f"""SELECT (SELECT count(*) FROM raw WHERE firehose_arrival_at >= {ASOF} - INTERVAL 2 HOUR)
-              AS stream_count,
-            CAST(0 AS BIGINT) AS batch_count, FALSE AS is_open
-            FROM (SELECT 1)""",
+        f"""SELECT hours, stream_count, CASE WHEN hours <= 2 THEN cleaned ELSE 0 END AS batch_count,
+              hours <= 2 AND stream_count > 0 AND cleaned > 0 AS is_open
+            FROM (VALUES (24), (1)) AS age(hours), (SELECT count(*) AS cleaned FROM gated),
+              (SELECT count(*) AS stream_count FROM raw
+               WHERE firehose_arrival_at >= {ASOF} - INTERVAL 2 HOUR)""",
     ),
 )
 def d13(spark, folder):
-    """A batch table cleaned a day ago keeps the gate shut."""
+    """A batch table cleaned a day ago keeps the gate shut, one of an hour ago opens it."""
     rows = base.raw(spark, folder)
     asof = base.asof(spark, folder)
-    batch = quality_gate(rows).select(
-        (asof - F.expr("INTERVAL 24 HOURS")).alias("batch_cleaned_at")
-    )
-    return gates.fresh_counts(rows, batch, asof)
+
+    def counts(hours: int) -> DataFrame:
+        stamp = (asof - F.expr(f"INTERVAL {hours} HOURS")).alias("batch_cleaned_at")
+        return gates.fresh_counts(rows, quality_gate(rows).select(stamp), asof).withColumn(
+            "hours", F.lit(hours)
+        )
+
+    return counts(24).unionByName(counts(1))
 
 
 @query(
@@ -592,6 +598,18 @@ def full_report_sql() -> str:
     def accepted(layer: str, source: str, column: str, values) -> None:
         add(layer, f"{column} accepted", count_of(source, f"{column} NOT IN ({quoted(values)})"))
 
+    add("landed", "row_count > 0", "(SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM raw)")
+    for hours, severity in ((s.warn_hours, "warn"), (s.error_hours, "error")):
+        add("landed", f"firehose_arrival_at within {hours} h", f"""(SELECT CASE WHEN
+            max(firehose_arrival_at) >= {ASOF} - INTERVAL {hours} HOUR THEN 0 ELSE 1 END FROM raw)""",
+            severity)
+    add("batch", "row_count > 0", "(SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM gated)")
+    complete("batch", "gated", "property_id")
+    within("batch", "gated", "price_ksh", s.min_price, s.max_price)
+    accepted("batch", "stg", "value_zone", config.VALUE_ZONES)
+    accepted("batch", "stg", "price_bucket", config.PRICE_BUCKETS)
+    add("batch", "both_inputs_fresh", f"""(SELECT CASE WHEN (SELECT count(*) FROM gated) > 0
+        AND max(firehose_arrival_at) >= {ASOF} - INTERVAL 2 HOUR THEN 0 ELSE 1 END FROM raw)""")
     complete("landed", "raw", "scraped_at")
     complete("landed", "raw", "firehose_arrival_at", severity="warn")
     add("landed", "observed_at within 26 h", f"""(SELECT CASE WHEN max(
@@ -684,5 +702,6 @@ def full_report_sql() -> str:
 @query("q13_quality_report", full_report_sql())
 def q13(spark, folder):
     asof = base.asof(spark, folder)
-    built = warehouse.build(base.raw(spark, folder), asof)
-    return warehouse.quality_report(built, asof)
+    built = warehouse.build(base.landed(spark, folder), asof)
+    batch = spool(staging.batch_cleaned(built.landed, asof))
+    return warehouse.quality_report(built, asof, batch=batch)

@@ -232,11 +232,17 @@ def f3d(spark, folder):
     )
 
 
-@query("f3e_current_stamp", "SELECT o_orderkey, o_orderdate < now() AS is_past FROM orders")
+@query(
+    "f3e_current_stamp",
+    """SELECT o_orderkey, o_orderdate + to_years(CAST(100 * (o_orderkey % 2) AS INT)) < now()
+         AS is_past FROM orders""",
+)
 def f3e(spark, folder):
-    """The stamp itself changes with the clock; whether orders lie before it does not."""
+    """The stamp itself changes with the clock; on which side of it orders lie, every
+    other one moved by a century, does not."""
+    moved = F.add_months(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 2 * 1200).cast("int"))
     return table(spark, folder, "orders").select(
-        "o_orderkey", (F.col("o_orderdate") < dates.now_utc()).alias("is_past")
+        "o_orderkey", (moved.cast("timestamp_ntz") < dates.now_utc()).alias("is_past")
     )
 
 

@@ -193,14 +193,13 @@ def s9(spark, folder):
         F.concat(F.lit("KSh "), F.col("o_custkey").cast("string")).alias("price"),
         F.col("o_orderstatus").alias("title"),
     )
-    # Order keys are unique, so a range of 5,000 keys bounds each array.
-    arrays = (
-        table(spark, folder, "orders")
-        .groupBy(F.floor(F.col("o_orderkey") / 5000).alias("chunk"))
-        .agg(F.to_json(F.collect_list(record)).alias("value"))
-    )
-    arrays.write.partitionBy("chunk").text(path)
-    return tables.read_records(spark, f"{path}/*").select("id", "price", "title")
+    orders = table(spark, folder, "orders")
+    # Order keys are unique, so a range of 5,000 keys bounds each array. A file holds one
+    # array, and all files lie in one folder.
+    chunk = F.floor(F.col("o_orderkey") / 5000)
+    arrays = orders.groupBy(chunk.alias("chunk")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return tables.read_records(spark, path).select("id", "price", "title")
 
 
 @query(
@@ -399,19 +398,13 @@ def s14(spark, folder):
         "table",
         path=scratch(spark, "bucketed"),
         sort_by=["l_suppkey"],
-        bucket_by=(8, "l_suppkey"),
+        bucket_by=(tables.buckets_for(lines), "l_suppkey"),
     )
     return stored.groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.max("l_extendedprice").alias("top")
     )
 
 
-@query("s15_column_listing")
-def s15(spark, folder):
-    tables.publish(staging.staged_listings(base.raw(spark, folder)), "staged_listings")
-    return tables.column_listing(spark, "staged_listings")
-
-
 BATCHED = f"""SELECT {CLEAN}, ingested_at, '2026-01-01 00:00:00' AS batch_cleaned_at
   FROM (SELECT * FROM {{source}} WHERE property_id IS NOT NULL AND trim(property_id) <> ''
           AND location_raw IS NOT NULL AND price_ksh BETWEEN 3000 AND 2000000

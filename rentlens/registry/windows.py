@@ -11,7 +11,7 @@ from rentlens.plans import marts, staging
 from rentlens.quality import assertions
 from rentlens.registry import base
 from rentlens.registry.base import query
-from rentlens.registry.layers import CLEAN, over, pct, rounded
+from rentlens.registry.layers import CLEAN, NEWEST, over, pct, rounded
 from rentlens.registry.models import monthly
 from rentlens.sources.driver_tables import table
 
@@ -41,12 +41,12 @@ def w1(spark, folder):
               strftime(scraped_at_eat, '%Y-%m-%d %H:%M:%S') AS scraped_at_eat) FROM (
             SELECT {CLEAN}, ingested_at, '2026-01-01 00:00:00' AS batch_cleaned_at
             FROM (SELECT * FROM gated QUALIFY row_number() OVER (PARTITION BY property_id
-                  ORDER BY ingested_at DESC, arrival_seq DESC) = 1))""",
+                  ORDER BY ingested_at DESC, {NEWEST}) = 1))""",
     ),
 )
 def w2(spark, folder):
     stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
-    return staging.batch_cleaned(base.raw(spark, folder), stamp)
+    return staging.batch_cleaned(base.landed(spark, folder), stamp)
 
 
 @query(
@@ -71,7 +71,7 @@ def w3_ranges(spark, folder):
         RankBy("price_rank", "o_totalprice", descending=True),
         RankBy("customer_rank", "o_custkey"),
     ]
-    return with_ranks(orders, ranks, single_window_rows=0).select(
+    return with_ranks(orders, ranks).select(
         "o_orderkey", "price_rank", "customer_rank"
     )
 

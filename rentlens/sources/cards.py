@@ -25,7 +25,7 @@ VOID_TAGS = {
 
 CARD_SCHEMA = (
     "page_id long, position int, title string, price string, "
-    "location string, url string, card_bathrooms int"
+    "location string, url string, card_bathrooms string"
 )
 
 
@@ -46,14 +46,17 @@ def listing_cards(pages: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
                 for i, card in enumerate(cards_of_page(html, base, default_place))
             ]
             out = pd.DataFrame(rows, columns=columns)
-            out["card_bathrooms"] = out["card_bathrooms"].astype("Int32")
+            # As text: a page may hold a number that no integer column can.
+            out["card_bathrooms"] = [None if n is None else str(n) for _, *_, n in rows]
             yield out
 
     # Pages that cannot hold a card never reach Python.
     hopeful = pages.select("page_id", "html").filter(
         F.col("html").rlike(CARD_CLASS.pattern) & F.contains("html", F.lit(PRICE_MARK))
     )
-    return hopeful.mapInPandas(extract, CARD_SCHEMA)
+    return hopeful.mapInPandas(extract, CARD_SCHEMA).withColumn(
+        "card_bathrooms", F.col("card_bathrooms").try_cast("int")
+    )
 
 
 class _Card:

@@ -117,6 +117,12 @@ def publish(
     return spark.table(name)
 
 
+def buckets_for(df: DataFrame, bytes_each: int = 128 << 20, least: int = 8) -> int:
+    """Buckets that hold about so many bytes each, by the planner's estimate."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, -(-size // bytes_each))
+
+
 def column_listing(spark: SparkSession, name: str) -> DataFrame:
     """Name, type and position of each column of a table or view."""
     columns = spark.catalog.listColumns(name)

@@ -2,12 +2,17 @@
 
 The consumers are separate queries, each with its own checkpoint, so one can fail
 or lag without the other. Deliveries may repeat and batches may be replayed: file
-sinks commit each batch once, and `foreachBatch` writes are keyed by batch id.
+sinks commit each batch once, and `foreachBatch` writes are keyed by query and batch: a
+replayed batch replaces its own rows, and a query with a new checkpoint adds to what the
+ones before it have stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -88,22 +93,54 @@ def start_dead_letters(
     """Undecodable records and the counts of each batch, kept by batch id. A batch
     without one valid record fails its query, and is read again at the next start."""
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        decoded = envelope.decode(batch, payload).persist()
+    def store(batch: DataFrame, batch_id: int, query: str) -> None:
+        seen = Observation()
+        decoded = envelope.decode(batch, payload).observe(
+            seen,
+            F.count_if(F.col("record").isNotNull()).alias("records_ok"),
+            F.count_if(F.col("record").isNull()).alias("records_error"),
+        )
+        place = f"query={query}/batch_id={batch_id}"
+        attempt = f"{path}-attempts/{uuid.uuid4().hex}"
+        envelope.dead_letters(decoded).write.json(attempt)
         try:
-            counts = envelope.delivery_counts(decoded)
-            row = counts.first()
-            envelope.require_some_valid(row["records_ok"], row["records_error"])
-            envelope.dead_letters(decoded).write.mode("overwrite").json(
-                f"{path}/letters/batch_id={batch_id}"
-            )
-            counts.write.mode("overwrite").json(f"{path}/counts/batch_id={batch_id}")
-        finally:
-            decoded.unpersist()
+            store_counts(batch.sparkSession, seen, f"{path}/counts/{place}")
+        except envelope.AllRecordsFailed:
+            delete(batch.sparkSession, attempt)
+            raise
+        move(batch.sparkSession, attempt, f"{path}/letters/{place}")
 
     return start_batches(envelopes, checkpoint, store)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, place = _at(spark, path)
+    fs.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Put a folder where another one may stand, of an earlier try at the same batch."""
+    (fs, source), (_, target) = _at(spark, path), _at(spark, to)
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+def _at(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def store_counts(spark: SparkSession, seen: Observation, path: str) -> None:
+    """Keep what a batch counted while it was written; fail it if nothing was valid."""
+    counts = {name: int(n or 0) for name, n in seen.get.items()}
+    good, bad = counts.values()
+    envelope.require_some_valid(good, bad)
+    spark.createDataFrame([(good, bad)], [*counts]).coalesce(1).write.mode("overwrite").json(path)
+
+
 def history_rows(valid: DataFrame, asof: Column, s: Settings = DEFAULTS) -> DataFrame:
     """Keyed, stamped rows; the last delivery of a key in the batch wins.
 
@@ -133,40 +170,58 @@ def start_history(
     """One row per listing and observation; a later write of the same key wins.
 
     Records without an id are skipped and counted. A batch that yields nothing at
-    all fails, so that it is delivered again.
+    all fails, so that it is delivered again. When commits add up, old ones are folded
+    into one, without the rows that have expired.
     """
-    spark = envelopes.sparkSession
-    table = history_table(spark, path)
+    table = history_table(envelopes.sparkSession, path)
     when = asof if asof is not None else now_utc()
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        decoded = envelope.decode(batch).persist()
+    def store(batch: DataFrame, batch_id: int, query: str) -> None:
+        usable = F.coalesce(F.col("record.property_id"), F.lit("")) != ""
+        seen = Observation()
+        decoded = envelope.decode(batch).observe(
+            seen, F.count_if(usable).alias("processed"), F.count_if(~usable).alias("failed")
+        )
+        attempt = table.stage(history_rows(envelope.valid_rows(decoded), when, s))
         try:
-            usable = F.coalesce(F.col("record.property_id"), F.lit("")) != ""
-            counts = decoded.agg(
-                F.count_if(usable).alias("processed"), F.count_if(~usable).alias("failed")
-            )
-            row = counts.first()
-            envelope.require_some_valid(row["processed"], row["failed"])
-            table.upsert(history_rows(envelope.valid_rows(decoded), when, s), batch_id)
-            counts.write.mode("overwrite").json(f"{path}_counts/batch_id={batch_id}")
-        finally:
-            decoded.unpersist()
+            counts = f"{path}_counts/query={query}/batch_id={batch_id}"
+            store_counts(batch.sparkSession, seen, counts)
+        except envelope.AllRecordsFailed:
+            table.discard(attempt)
+            raise
+        table.commit(attempt, f"{query}-{batch_id}")
+        if len(table.commits()) > s.history_commits:
+            table.compact(where=live_at(when))
 
     return start_batches(envelopes, checkpoint, store)
 
 
-def start_batches(stream: DataFrame, checkpoint: str, store) -> StreamingQuery:
+def start_batches(
+    stream: DataFrame, checkpoint: str, store: Callable[[DataFrame, int, str], None]
+) -> StreamingQuery:
+    """`store` gets each batch, its number, and the id that the query keeps in its
+    checkpoint: batch numbers start anew with a new checkpoint, ids do not repeat."""
+    names: list[str] = []
+
+    def keyed(batch: DataFrame, batch_id: int) -> None:
+        if not names:
+            names.append(batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"])
+        store(batch, batch_id, names[0])
+
     return (
-        stream.writeStream.foreachBatch(store)
+        stream.writeStream.foreachBatch(keyed)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def live_at(asof: Column) -> Column:
+    return F.col("expires_at") > F.unix_timestamp(asof.cast("timestamp"))
+
+
 def unexpired(history: DataFrame, asof: Column) -> DataFrame:
-    return history.filter(F.col("expires_at") > F.unix_timestamp(asof.cast("timestamp")))
+    return history.filter(live_at(asof))
 
 
 def latest_state(history: DataFrame) -> DataFrame:
@@ -184,9 +239,14 @@ def start_landing(
     landed: str,
     checkpoint: str,
     payload: T.StructType = CANONICAL,
+    files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Each new archive file, mapped to the table's columns and appended once."""
-    rows = spark.readStream.schema(archive_schema(payload)).json(archive)
+    rows = (
+        spark.readStream.schema(archive_schema(payload))
+        .option("maxFilesPerTrigger", files_per_batch)
+        .json(archive)
+    )
     return (
         rows.select(*payload.fieldNames(), now_utc().alias("firehose_arrival_at"))
         .writeStream.format("parquet")

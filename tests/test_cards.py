@@ -40,6 +40,12 @@ def test_missing_parts():
     assert parse(full)[0][3] == "http://e/1"
 
 
+def test_a_number_beyond_every_column_is_null(spark):
+    html = CARD.replace("2 Bathrooms", "99999999999 Bathrooms")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r["card_bathrooms"] for r in cards.listing_cards(pages).collect()] == [None]
+
+
 def test_first_bath_label_decides():
     html = CARD.replace("2 Bathrooms", "Bathroom").replace("3 Beds", "4 baths")
     assert parse(html)[0][4] is None

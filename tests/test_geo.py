@@ -25,6 +25,12 @@ def test_known_distance_and_nulls(spark):
     assert got[3] == pytest.approx(4101, abs=3)
 
 
+def test_opposite_points_are_null(spark):
+    rows = [(-DEFAULTS.origin_lat, DEFAULTS.origin_lon - 180.0), (1.0, -143.0), (45.0, -120.0)]
+    got = [r["km"] for r in distance(spark.createDataFrame(rows, "lat double, lon double")).collect()]
+    assert got[0] is None and got[1] is None and got[2] > 10_000
+
+
 def test_equator_degree(spark):
     df = spark.createDataFrame([(0.0, 1.0)], "lat double, lon double")
     km = df.select(geodesic_km(F.col("lat"), F.col("lon"), 0.0, 0.0)).first()[0]

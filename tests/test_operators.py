@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rentlens.operators import dedupe, filters, upsert
 from rentlens.operators.percentiles import grouped_percentiles
-from rentlens.operators.ranking import RankBy, with_ranks
+from rentlens.operators.ranking import RankBy, with_positions, with_ranks
 from rentlens.operators.upsert import KeyedTable
 
 
@@ -67,14 +67,12 @@ def test_percentiles_against_numpy(spark):
         assert r["s50"] == (pytest.approx(np.median(flagged)) if flagged else None)
 
 
-def test_ranks_agree_on_both_paths(spark):
+def test_ranks_over_ranges(spark):
     draw = random.Random(3)
     rows = [(i, draw.choice([None, 1.0, 1.0, 2.5, draw.random()]), draw.randrange(4)) for i in range(400)]
     df = spark.createDataFrame(rows, "id int, a double, b int")
     ranks = [RankBy("up", "a"), RankBy("down", "a", descending=True), RankBy("b_rank", "b")]
     small = sorted(with_ranks(df, ranks).collect())
-    large = sorted(with_ranks(df, ranks, single_window_rows=0).collect())
-    assert small == large
     present = [r for r in small if r["a"] is not None]
     for r in small:
         if r["a"] is None:
@@ -110,18 +108,45 @@ def test_upsert(spark, tmp_path, stage, want):
     for _ in range(2):
         table.upsert(staged, 2)
         assert sorted(tuple(r) for r in table.read().collect()) == want
-    compacted = table.compact_to(str(tmp_path / "c"))
-    assert sorted(tuple(r) for r in compacted.read().collect()) == want
-    compacted.upsert(frame(spark, [("b", 100)]), compacted.last_version() + 1)
-    assert ("b", 100) in [tuple(r) for r in compacted.read().collect()]
+    table.compact(keep=0)
+    assert [c.key for c in table.commits()] == ["folded"]
+    assert sorted(tuple(r) for r in table.read().collect()) == want
+    table.upsert(frame(spark, [("b", 100)]), 3)
+    assert ("b", 100) in [tuple(r) for r in table.read().collect()]
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
+def test_only_committed_rows_are_read(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), frame(spark, []).schema, ["k"])
-    table.upsert(frame(spark, [("a", 1)]), 1)
-    table.upsert(frame(spark, [("a", 2)]), 2)
-    (tmp_path / "t" / f"version={2:012d}" / "_SUCCESS").unlink()
+    table.upsert(frame(spark, [("a", 1)]), "one")
+    attempt = table.stage(frame(spark, [("a", 2)]))
     assert [tuple(r) for r in table.read().collect()] == [("a", 1)]
+    table.commit(attempt, "two")
+    assert [tuple(r) for r in table.read().collect()] == [("a", 2)]
+    # A repeated write keeps its place before the later one.
+    table.upsert(frame(spark, [("a", 9), ("b", 9)]), "one")
+    assert sorted(tuple(r) for r in table.read().collect()) == [("a", 2), ("b", 9)]
+
+
+def test_folding_keeps_the_newest_and_expires(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), frame(spark, []).schema, ["k"])
+    for i in range(5):
+        table.upsert(frame(spark, [("a", i), (f"k{i}", i)]), i)
+    table.compact(keep=1, where=F.col("v") >= 2)
+    assert [c.key for c in table.commits()] == ["folded", "4"]
+    assert sorted(tuple(r) for r in table.read().collect()) == [("a", 4), ("k2", 2), ("k3", 3), ("k4", 4)]
+    table.upsert(frame(spark, [("a", 40)]), 4)
+    assert ("a", 40) in [tuple(r) for r in table.read().collect()]
+    folders = [p for p in (tmp_path / "t").iterdir() if p.name.startswith("attempt=")]
+    assert len(folders) == len(table.commits())
+
+
+def test_positions_are_a_total_order(spark):
+    draw = random.Random(4)
+    rows = [(draw.choice([None, 1, 2, 3]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, i int")
+    got = with_positions(df, "n", F.col("a").asc_nulls_last(), F.col("i").asc()).orderBy("n").collect()
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert [(r["a"], r["i"], r["n"]) for r in got] == [(*r, n) for n, r in enumerate(want, start=1)]
 
 
 def test_required_fields(spark):

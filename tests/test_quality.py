@@ -155,11 +155,20 @@ def test_batch_job_halts_before_writing(spark, tmp_path):
     no_url = batch_rows(spark).withColumn("source_url", F.lit(None).cast("string"))
     with pytest.raises(gates.QualityError, match="source_url complete"):
         batch_job.load_batch(no_url, raw, cleaned, 1, stamp)
-    assert raw.last_version() == 0 and cleaned.last_version() == 0
+    assert not raw.commits() and not cleaned.commits()
     worthless = batch_rows(spark).withColumn("price_ksh", F.lit(1))
     with pytest.raises(gates.QualityError, match="row_count > 0"):
         batch_job.load_batch(worthless, raw, cleaned, 1, stamp)
-    assert raw.last_version() == 1 and cleaned.last_version() == 0
+    assert len(raw.commits()) == 1 and not cleaned.commits()
+
+
+def test_failed_rerun_leaves_the_committed_version(spark, tmp_path):
+    raw, cleaned, stamp = tables(spark, tmp_path)
+    batch_job.load_batch(batch_rows(spark), raw, cleaned, 1, stamp)
+    before = sorted(raw.read().collect(), key=str), sorted(cleaned.read().collect(), key=str)
+    with pytest.raises(gates.QualityError, match="row_count > 100"):
+        batch_job.load_batch(batch_rows(spark, 50), raw, cleaned, 1, stamp)
+    assert (sorted(raw.read().collect(), key=str), sorted(cleaned.read().collect(), key=str)) == before
 
 
 def test_batch_casts_text_columns(spark, tmp_path):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors.exceptions.captured import StreamingQueryException
 from pyspark.sql import functions as F
 
+from rentlens.config import Settings
 from rentlens.schema import CANONICAL, ENVELOPE, LANDED
 from rentlens.sources import envelope, tables
 from rentlens.streaming import ingest
@@ -87,7 +88,8 @@ def test_history_keeps_the_last_write_over_batches_and_replays(spark, tmp_path):
     # The second batch again, as after a crash before its commit.
     rows = spark.read.schema(ENVELOPE).json(str(source / "2.json"))
     valid = envelope.valid_rows(envelope.decode(rows))
-    ingest.history_table(spark, path).upsert(ingest.history_rows(valid, stamp()), 1)
+    replayed = [c.key for c in ingest.history_table(spark, path).commits()][-1]
+    ingest.history_table(spark, path).upsert(ingest.history_rows(valid, stamp()), replayed)
     assert prices() == want
 
     history = ingest.history_table(spark, path).read()
@@ -100,6 +102,20 @@ def test_history_keeps_the_last_write_over_batches_and_replays(spark, tmp_path):
     assert [(r["processed"], r["failed"]) for r in counts] == [(3, 2), (2, 0)]
 
 
+def test_history_survives_a_new_checkpoint_and_is_folded(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "history")
+    for i in range(4):
+        write(source, f"{i}.json", [packed(record(f"p{i}", i), i), packed(record("all", i), 100 + i)])
+    settings = Settings(history_commits=2)
+    for checkpoint, files in (("c1", 4), ("c2", 1)):
+        stream = ingest.envelope_stream(spark, str(source), files)
+        run(ingest.start_history(stream, path, str(tmp_path / checkpoint), stamp(), settings))
+    table = ingest.history_table(spark, path)
+    assert sorted(r["property_id"] for r in table.read().collect()) == ["all", "p0", "p1", "p2", "p3"]
+    assert len(table.commits()) <= 3
+    assert spark.read.json(f"{path}_counts").count() == 5
+
+
 def test_batch_without_a_valid_record_fails_and_is_read_again(spark, tmp_path):
     source, letters = tmp_path / "in", str(tmp_path / "letters")
     write(source, "1.json", [packed("junk", 1), packed("[", 2)])
