@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from rentlens.operators.spool import spool
 
+#: Rows a task of a contraction takes, about: small graphs need few tasks.
+TASK_ROWS = 250_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """`links` (a, b): for every node that has a link, node and root, the smallest node it
@@ -18,17 +21,17 @@ def components(links: DataFrame) -> DataFrame:
     side of the join, whose other side adaptive execution can split.
     """
     edges = spool(_pointing(links.select("a", "b")))
+    tasks = max(8, edges.count() // TASK_ROWS)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
-        met = both.join(lowest, "a")
+        lowest = spool(both.groupBy("a").agg(F.min("b").alias("_m"), F.count("*").alias("_n")).coalesce(tasks))
+        # In stars, a node with a smaller neighbour has no other.
+        if lowest.filter("_m < a AND _n > 1").isEmpty():
+            roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return roots.unionByName(lowest.filter("_m > a").select(F.col("a").alias("node"), F.col("a").alias("root")))
+        met = both.join(lowest.select("a", F.least("a", "_m").alias("_m")), "a").coalesce(tasks)
         pairs = met.select(F.explode(F.array(F.struct("a", F.col("_m").alias("b")), F.struct(F.col("b").alias("a"), F.col("_m").alias("b")))).alias("p"))
-        new = spool(_pointing(pairs.select("p.a", "p.b")))
-        if _sameness(new) == _sameness(edges):
-            break
-        edges = new
-    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+        edges = spool(_pointing(pairs.select("p.a", "p.b")).coalesce(tasks))
 
 
 def _pointing(pairs: DataFrame) -> DataFrame:
@@ -38,8 +41,3 @@ def _pointing(pairs: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-
-
-def _sameness(edges: DataFrame):
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30)))).first()
-    return tuple(row)

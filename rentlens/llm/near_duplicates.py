@@ -11,10 +11,10 @@ the similarity of the sets, concentrated as with independent hashes, and a set o
 more than T shingles is looked at once.
 
 Copies (equal sets) are one class; classes, not documents, are compared. In each band of
-bins, equal values make a bucket. A bucket links its members to a centre, another one in
-each band. Buckets whose members are not all connected by verified links are searched
-through for pairs across groups, in blocks of bounded size, with the sketches: pairs
-whose sketches could stand for the similarity are verified too. All links are confirmed
+bins, equal values make a bucket. In the first bands, a bucket links its members to a
+centre, another one in each band. Buckets, of any band, whose members are not all
+connected by verified links are searched through for pairs across groups, in blocks of bounded size, with the sketches: pairs
+whose sketches could stand for the similarity are compared too. All links are confirmed
 on the full sets (as 64-bit hashes of the shingles).
 
 Defined results: null text, or text without words, has an empty set and links with
@@ -43,8 +43,11 @@ BINS = 128
 BAND = 4
 #: Sketches that agree in fewer bins are not of similar sets: five deviations below.
 LEAST_AGREEING = int(BINS * PERCENT / 100 - 5 * (BINS * 0.75 * 0.25) ** 0.5)
-#: Members of a bucket in one block of the search across groups.
-BLOCK = 256
+#: Bands whose buckets link their members to a centre before the search.
+CENTRED = 6
+#: Members of a bucket, and shingles they have, in one block of the search, about.
+BLOCK_ROWS = 512
+BLOCK_ITEMS = 500_000
 SKETCHED = "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>"
 
 
@@ -129,8 +132,7 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         sized.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
     )
     chosen = sized.join(classes, (sized["doc_id"] == classes["rep"]) & (sized["key_a"] == classes["key_a"]) & (sized["key_b"] == classes["key_b"]))
-    linked = _class_links(docs, chosen.select("rep", "n", "bands"), percent)
-    roots = components(linked)
+    roots = _class_roots(docs, chosen.select("rep", "n", "bands"), percent)
     placed = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         "key_a", "key_b", F.coalesce("root", "rep").alias("_root")
     )
@@ -141,26 +143,19 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _class_links(docs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Verified links (a, b) between classes, enough of them to connect all groups."""
+def _class_roots(docs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """node and root of every class that is linked with another."""
     members = spool(_shared_buckets(chosen))
-    candidates = _candidates(members, percent)
     held = spool(_full_sets(docs, members.select(F.col("rep").alias("doc_id")).distinct()))
-    # First the link of each class with which it shares most bands, then what that leaves.
-    ranked = candidates.groupBy("a").agg(F.max(F.struct("shared", F.negative("b").alias("b"))).alias("_best"))
-    first = ranked.select("a", (-F.col("_best.b")).alias("b"))
-    links = spool(verified(first, held, percent))
+    links = spool(verified(_with_centres(members, percent), held, percent))
     roots = spool(components(links))
-    rest = _across(candidates.select("a", "b").join(first, ["a", "b"], "left_anti"), roots)
-    links = spool(links.unionByName(verified(rest, held, percent)))
-    roots = spool(components(links))
-    more = _searched(members, held, roots, percent)
-    return spool(links.unionByName(verified(more, held, percent)))
+    more = spool(_searched(members, held, roots, percent))
+    return roots if more.isEmpty() else components(links.unionByName(more))
 
 
 def _shared_buckets(chosen: DataFrame) -> DataFrame:
-    """bucket, rep and n, of the buckets with more than one member, and their centre."""
-    rows = chosen.select("rep", "n", F.explode("bands").alias("bucket"))
+    """band, bucket, rep and n, of the buckets with more than one member, and their centre."""
+    rows = chosen.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
     centres = (
         rows.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("bucket", "rep").alias("_h"), "rep", "n")).alias("_c"))
@@ -175,12 +170,10 @@ def _near_size(x: str, y: str, percent: int) -> F.Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def _candidates(members: DataFrame, percent: int) -> DataFrame:
-    pairs = members.filter((F.col("rep") != F.col("centre")) & _near_size("n", "centre_n", percent))
-    return (
-        pairs.groupBy(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b"))
-        .agg(F.count("*").alias("shared"))
-    )
+def _with_centres(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a member and the centre of its bucket, in the first bands."""
+    pairs = members.filter((F.col("band") < CENTRED) & (F.col("rep") != F.col("centre")) & _near_size("n", "centre_n", percent))
+    return pairs.select(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b")).distinct()
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -206,58 +199,84 @@ def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select("a", "b")
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are not connected."""
-    of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
-    of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-    joined = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    return joined.filter(F.coalesce("_ra", "a") != F.coalesce("_rb", "b")).select("a", "b")
-
-
 def _searched(members: DataFrame, held: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that are not connected, nor were a member and its centre, and
-    whose sizes and sketches allow the similarity."""
+    """Verified links (a, b) between members of one bucket that are not connected yet.
+
+    Buckets are dealt into blocks of bounded size, and each two blocks of a bucket meet in
+    one task. Sizes and sketches rule out most pairs; the full sets decide on the others,
+    and of the links found there, those that connect what was not connected are returned.
+    """
     rows = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    open_buckets = rows.groupBy("bucket").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).filter("_x <> _y").select("bucket")
-    rows = rows.filter("size > 2").join(open_buckets, "bucket", "left_semi")
-    # Blocks of a bucket meet in pairs; the grid of a bucket is bounded by its size.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ITEMS)).cast("int")
+    open_buckets = (
+        rows.groupBy("bucket").agg(F.min("root").alias("_x"), F.max("root").alias("_y"), blocks.alias("blocks"))
+        .filter("_x <> _y").select("bucket", "blocks")
+    )
+    rows = rows.select("bucket", "band", "rep", "n", "root").join(open_buckets, "bucket")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     grid = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
+        F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("own")),
     )
-    spread = rows.select("bucket", "rep", "n", "root", "centre", F.explode(grid).alias("g")).select(
-        "bucket", "rep", "n", "root", "centre", "g.i", "g.j", "g.own"
+    spread = rows.select("bucket", "band", "rep", "n", "root", F.explode(grid).alias("g")).select(
+        "bucket", "band", "rep", "n", "root", "g.i", "g.j", "g.own"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [np.array(x, dtype=np.int64).view(np.uint64) for x in batch.column("items").to_pylist()]
-            made = [sketch(x).tobytes() if len(x) else None for x in items]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], ["rep", "sketch"])
+            made = [sketch(x).tobytes() if len(x) else None for x in _lists(batch.column("items"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary()), batch.column("items")], ["rep", "sketch", "items"])
 
-    sketches = held.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(run, "rep long, sketch binary")
+    wanted = rows.select(F.col("rep").alias("doc_id")).distinct()
+    sketches = held.join(wanted, "doc_id", "left_semi").mapInArrow(run, "rep long, sketch binary, items array<long>")
 
     def compare(table: pa.Table) -> pa.Table:
-        cols = {c: table.column(c).to_numpy() for c in ("rep", "n", "root", "centre", "own")}
-        values = np.array([np.frombuffer(s, np.uint32) for s in table.column("sketch").to_pylist()])
-        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        out = []
-        for x in range(table.num_rows):
-            fit = (cols["root"] != cols["root"][x]) & (cols["rep"] < cols["rep"][x])
-            fit &= np.minimum(cols["n"], cols["n"][x]) * 100 >= np.maximum(cols["n"], cols["n"][x]) * percent
-            fit &= (cols["rep"] != cols["centre"]) & (cols["rep"][x] != cols["centre"])
-            if not same:
-                fit &= cols["own"] != cols["own"][x]
-            at = np.flatnonzero(fit)
-            at = at[(values[at] == values[x]).sum(axis=1) >= LEAST_AGREEING]
-            out += [(cols["rep"][x], cols["rep"][y]) for y in at]
-        pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    found = spread.join(sketches, "rep").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
-    return found.distinct()
+        links = np.array(_links_between(table, percent), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": links[:, 0], "b": links[:, 1]})
+
+    return spread.join(sketches, "rep").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """Lists of numbers, each ascending as unsigned numbers."""
+    return [x.values.to_numpy().view(np.uint64) if x.is_valid else np.zeros(0, dtype=np.uint64) for x in column]
+
+
+def _links_between(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    rep, n, root, own = (table.column(c).to_numpy() for c in ("rep", "n", "root", "own"))
+    values = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(-1, BINS)
+    items = _lists(table.column("items").combine_chunks())
+    within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    band = table.column("band")[0].as_py()
+    joined = {r: r for r in root.tolist()}
+
+    def find(r: int) -> int:
+        while joined[r] != r:
+            joined[r] = joined[joined[r]]
+            r = joined[r]
+        return r
+
+    links = []
+    for x in range(1, len(rep)):
+        fit = root[:x] != root[x]
+        fit &= np.minimum(n[:x], n[x]) * 100 >= np.maximum(n[:x], n[x]) * percent
+        if not within:
+            fit &= own[:x] != own[x]
+        at = np.flatnonzero(fit)
+        same = values[at] == values[x]
+        agreeing = same.sum(axis=1)
+        # A pair is looked at in the first band that it shares.
+        first = same.reshape(len(at), BINS // BAND, BAND).all(axis=2).argmax(axis=1)
+        take = np.flatnonzero((agreeing >= LEAST_AGREEING) & (first == band))
+        for y in at[take[np.argsort(-agreeing[take], kind="stable")]].tolist():
+            r, t = find(int(root[x])), find(int(root[y]))
+            if r == t:
+                continue
+            common = len(np.intersect1d(items[x], items[y], assume_unique=True))
+            if common * 100 >= (len(items[x]) + len(items[y]) - common) * percent:
+                links.append((max(int(rep[x]), int(rep[y])), min(int(rep[x]), int(rep[y]))))
+                joined[max(r, t)] = min(r, t)
+    return links
 
 
 def keep(docs: DataFrame) -> DataFrame:
