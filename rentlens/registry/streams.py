@@ -13,9 +13,9 @@ from rentlens.operators.dedupe import latest_per_key
 from rentlens.plans import staging
 from rentlens.registry import base
 from rentlens.registry.base import query
-from rentlens.registry.layers import over
+from rentlens.registry.layers import NEWEST, over
 from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
-from rentlens.schema import CANONICAL_COLUMNS, LANDED
+from rentlens.schema import CANONICAL_COLUMNS, ENVELOPE, LANDED
 from rentlens.sources import envelope, tables
 from rentlens.streaming import ingest
 
@@ -252,37 +252,105 @@ def st6(spark, folder):
     return tables.read_archive(spark, archive).select("property_id", "price_ksh", "_seq")
 
 
+# Requests that are no JSON, no base64, or lack the price; and records spoilt on the way.
+NO_JSON, NO_BASE64 = "arrival_seq % 97 = 5", "arrival_seq % 2 = 0 AND arrival_seq % 101 = 7"
+NO_PRICE, SPOILT = "arrival_seq % 89 = 3", "arrival_seq % 103 = 9"
+RECEIVED = f"(SELECT * FROM raw WHERE NOT ({NO_JSON}) AND NOT ({NO_BASE64}) AND NOT ({NO_PRICE}))"
+ARRIVED = f"(SELECT * FROM {RECEIVED} WHERE NOT ({SPOILT}))"
+EVENT_ID = "'shard-' || (arrival_seq % 4) || ':' || arrival_seq"
+
+
+def requests(spark, folder) -> DataFrame:
+    """The deliveries as posted bodies, every other one in base64."""
+    rows, seq = base.raw(spark, folder), F.col("arrival_seq")
+    price = F.when(~F.expr(NO_PRICE), F.col("price_raw")).alias("price_raw")
+    fields = [price if c == "price_raw" else F.col(c) for c in CANONICAL_COLUMNS if c != "ingested_at"]
+    body = F.when(F.expr(NO_JSON), F.lit('{"property_id": "cut of')).otherwise(F.to_json(F.struct(*fields)))
+    coded = F.when(F.expr(NO_BASE64), F.lit("%% no base64 %%")).otherwise(F.base64(body.cast("binary")))
+    return rows.select(
+        F.concat(F.lit("shard-"), (seq % 4).cast("string"), F.lit(":"), seq.cast("string")).alias("event_id"),
+        F.when(seq % 2 == 0, coded).otherwise(body).alias("body"),
+        (seq % 2 == 0).alias("is_base64"),
+        seq.cast("string").alias("seq"),
+        F.unix_timestamp(F.col("firehose_arrival_at").cast("timestamp")).cast("double").alias("arrival"),
+    )
+
+
+def whole_flow(spark, folder) -> dict[str, str]:
+    """Requests to envelopes; envelopes to archive, history and dead letters; archive to
+    the landed table. Returns where each sink lies."""
+    sent, _ = ingest.received(requests(spark, folder), stamp())
+    spoilt = F.expr(SPOILT.replace("arrival_seq", "CAST(seq AS BIGINT)"))
+    stored = scratch(spark, "envelopes")
+    with_repeats(sent.withColumn("data", F.when(spoilt, F.lit("%%")).otherwise(F.col("data")))).write.json(stored)
+    stream = ingest.envelope_stream(spark, stored)
+    at = {name: scratch(spark, name) for name in ("archive", "landed", "history", "letters")}
+    marks = scratch(spark, "checkpoints")
+    finish(
+        ingest.start_archive(stream, at["archive"], f"{marks}/a", stamp=stamp()),
+        ingest.start_history(stream, at["history"], f"{marks}/h", asof=stamp()),
+        ingest.start_dead_letters(stream, at["letters"], f"{marks}/d"),
+    )
+    finish(ingest.start_landing(spark, at["archive"], at["landed"], f"{marks}/l"))
+    return at
+
+
+@query(
+    "q12_rejected_requests",
+    over(
+        "raw",
+        f"""SELECT {EVENT_ID} AS event_id, CASE WHEN {NO_JSON} OR {NO_BASE64}
+              THEN 'Invalid JSON or Base64 encoding'
+              ELSE 'Missing required fields: price_raw' END AS error
+            FROM raw WHERE {NO_JSON} OR ({NO_BASE64}) OR {NO_PRICE}""",
+    ),
+)
+def q12_rejected(spark, folder):
+    return ingest.received(requests(spark, folder), stamp())[1]
+
+
+@query(
+    "q12_history",
+    over("raw", HISTORY.replace(GOOD, ARRIVED)),
+)
+def q12_history(spark, folder):
+    at = whole_flow(spark, folder)
+    return ingest.history_table(spark, at["history"]).read().select(HISTORY_COLUMNS)
+
+
+@query(
+    "q12_dead_letters",
+    over(
+        "raw",
+        f"""SELECT {EVENT_ID} AS event_id, CASE WHEN arrival_seq % 10 = 3 THEN 2 ELSE 1 END AS times
+            FROM {RECEIVED} WHERE {SPOILT}""",
+    ),
+)
+def q12_letters(spark, folder):
+    at = whole_flow(spark, folder)
+    letters = spark.read.schema(ENVELOPE).json(f"{at['letters']}/letters")
+    return letters.groupBy("event_id").agg(F.count("*").cast("int").alias("times"))
+
+
 @query(
     "q12_stream_to_staging",
     over(
         "raw",
-        f"""SELECT property_id, price_ksh, value_zone, neighbourhood FROM (
-            SELECT property_id, price_ksh, value_zone,
+        f"""SELECT property_id, price_ksh, value_zone, neighbourhood, ingested_at FROM (
+            SELECT property_id, price_ksh, value_zone, '2026-03-04T05:06:07.000000+00:00' AS ingested_at,
                    upper(substr(trim(neighbourhood), 1, 1)) || lower(substr(trim(neighbourhood), 2))
                      AS neighbourhood FROM (
               SELECT *, CASE WHEN dist_to_archives_km IS NULL THEN 'Unknown'
                  WHEN price_ksh >= 80000 AND dist_to_archives_km <= 5.0 THEN 'Premium'
                  WHEN price_ksh < 50000 AND dist_to_archives_km <= 8.0 THEN 'Sweet Spot'
                  WHEN dist_to_archives_km > 15.0 THEN 'Commuter' ELSE 'Mid-range' END AS value_zone
-              FROM {GOOD} WHERE price_ksh BETWEEN 3000 AND 2000000
-              QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY ingested_at DESC, scraped_at DESC, source_url DESC, location_raw DESC,
-            neighbourhood DESC NULLS LAST, latitude DESC, longitude DESC,
-            dist_to_archives_km DESC NULLS LAST, price_raw DESC, price_ksh DESC) = 1))""",
+              FROM {ARRIVED} WHERE price_ksh BETWEEN 3000 AND 2000000
+              QUALIFY row_number() OVER (PARTITION BY property_id ORDER BY {NEWEST}) = 1))""",
     ),
 )
 def q12(spark, folder):
-    """Envelopes to archive, history and dead letters; archive to the landed table;
-    landed table to staging. One landing run stamps all its rows alike, so the
-    ingestion stamp decides which delivery is newest."""
-    stream = delivered(spark, folder, repeats=True)
-    archive, landed = scratch(spark, "archive"), scratch(spark, "landed")
-    history, letters = scratch(spark, "history"), scratch(spark, "letters")
-    marks = scratch(spark, "checkpoints")
-    finish(
-        ingest.start_archive(stream, archive, f"{marks}/a", stamp=stamp()),
-        ingest.start_history(stream, history, f"{marks}/h", asof=stamp()),
-        ingest.start_dead_letters(stream, letters, f"{marks}/d"),
-    )
-    finish(ingest.start_landing(spark, archive, landed, f"{marks}/l"))
-    staged = staging.staged_listings(spark.read.schema(LANDED).parquet(landed))
-    return staged.select("property_id", "price_ksh", "value_zone", "neighbourhood")
+    """One landing run stamps all its rows alike, and so does ingestion here, so content
+    decides which delivery is newest."""
+    at = whole_flow(spark, folder)
+    staged = staging.staged_listings(spark.read.schema(LANDED).parquet(at["landed"]))
+    return staged.select("property_id", "price_ksh", "value_zone", "neighbourhood", "ingested_at")

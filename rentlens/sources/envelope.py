@@ -33,7 +33,16 @@ def decode(envelopes: DataFrame, schema: T.StructType = CANONICAL) -> DataFrame:
     Fields are read as text and then cast, so one field of the wrong type is a
     null in its row and not a lost record.
     """
-    text = F.try_validate_utf8(F.try_to_binary("data", F.lit("base64")).try_cast("string"))
+    return with_record(envelopes, plain_text(F.col("data")), schema)
+
+
+def plain_text(encoded: Column) -> Column:
+    """The text that base64 stands for; null where it stands for none."""
+    return F.try_validate_utf8(F.try_to_binary(encoded, F.lit("base64")).try_cast("string"))
+
+
+def with_record(df: DataFrame, text: Column, schema: T.StructType = CANONICAL) -> DataFrame:
+    """Adds `record`, the JSON object in `text`; null where it is none."""
     as_text = T.StructType(
         [T.StructField(c, T.StringType()) for c in [*schema.fieldNames(), "_corrupt"]]
     )
@@ -43,7 +52,7 @@ def decode(envelopes: DataFrame, schema: T.StructType = CANONICAL) -> DataFrame:
     )
     decodable = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt").isNull()
     return (
-        envelopes.withColumn("_parsed", F.from_json(text, as_text, options))
+        df.withColumn("_parsed", F.from_json(text, as_text, options))
         .withColumn("record", F.when(decodable, typed))
         .drop("_parsed")
     )

@@ -49,6 +49,31 @@ def accepted_records(
     )
 
 
+def received(
+    requests: DataFrame, stamp: Column | None = None, payload: T.StructType = CANONICAL
+) -> tuple[DataFrame, DataFrame]:
+    """Requests (event_id, body, is_base64, seq, arrival) as envelopes of the records with
+    all required fields, stamped; and the rejects (event_id, error). No body is an empty
+    record."""
+    body = F.coalesce(F.nullif("body", F.lit("")), F.lit("{}"))
+    text = F.when(F.col("is_base64"), envelope.plain_text(body)).otherwise(body)
+    # Exploding one element keeps the planner from parsing the body anew for each field.
+    parsed = envelope.with_record(requests, text, payload).select(
+        "event_id", "seq", "arrival", F.explode(F.array("record")).alias("record")
+    )
+    unread = parsed.filter("record IS NULL").select(
+        "event_id", F.lit("Invalid JSON or Base64 encoding").alias("error")
+    )
+    records = parsed.filter("record IS NOT NULL").select("event_id", "seq", "arrival", "record.*")
+    accepted, rejected = accepted_records(records, stamp)
+    sent = envelope.wrap(
+        accepted,
+        F.to_json(F.struct(*payload.fieldNames())),
+        F.col("event_id"), F.col("seq"), F.col("arrival"),
+    )
+    return sent, unread.unionByName(rejected.select("event_id", "error"))
+
+
 def envelope_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     return (
         spark.readStream.schema(ENVELOPE)

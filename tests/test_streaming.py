@@ -184,5 +184,29 @@ def test_ingestion_stamps_accepted_records(spark):
     assert rejected.first()["error"] == "Missing required fields: price_raw"
 
 
+def test_received_requests(spark):
+    good = json.dumps(record("a", price_raw="KSh 1"))
+    coded = base64.b64encode(json.dumps(record("b", price_raw="KSh 2")).encode()).decode()
+    bodies = [
+        (good, False), (coded, True), ("%%", True), ("{cut of", False), ("", False), (None, True),
+        (json.dumps(record("c")), False), (good, True),
+    ]
+    requests = spark.createDataFrame(
+        [(str(i), body, code, str(i), 1.0) for i, (body, code) in enumerate(bodies)],
+        "event_id string, body string, is_base64 boolean, seq string, arrival double",
+    )
+    sent, rejected = ingest.received(requests, stamp())
+    rows = envelope.valid_rows(envelope.decode(sent)).collect()
+    assert sorted((r["property_id"], r["_seq"], r["ingested_at"]) for r in rows) == [
+        ("a", "0", "2026-03-04T05:06:07.000000+00:00"), ("b", "1", "2026-03-04T05:06:07.000000+00:00"),
+    ]
+    errors = {r["event_id"]: r["error"] for r in rejected.collect()}
+    unread, missing = "Invalid JSON or Base64 encoding", "Missing required fields: "
+    assert errors == {
+        "2": unread, "3": unread, "4": missing + "location_raw, price_raw, property_id",
+        "5": unread, "6": missing + "price_raw", "7": unread,
+    }
+
+
 def test_archive_schema_covers_the_payload():
     assert set(CANONICAL.fieldNames()) < set(tables.archive_schema().fieldNames())
