@@ -6,11 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from rentlens.llm import attribution, packing, queries, training_order
+from rentlens.llm import attribution, packing, pii, quality, queries, training_order
+from test_llm_similar import contamination, grouped, shingle_set
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -174,7 +176,24 @@ def test_pipeline_stages_take_effect(spark):
     assert accepted.columns == docs.columns and accepted.count() < len(before)
     labels = queries.table(spark, SMALL, "labels").filter("quality = 1").join(docs, "doc_id")
     assert accepted.join(labels.select("doc_id"), "doc_id").count() > 0.97 * labels.count()
-    pieces = corpus_pipeline.run(spark, SMALL)
-    rows = pieces.collect()
-    assert {r["doc_id"] for r in rows} <= before
+
+
+def test_pipeline_against_brute_force(spark, encode):
+    docs, labels = queries.table(spark, SMALL, "documents"), queries.table(spark, SMALL, "labels")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = quality.fit(docs, labels)
+    scores = model.scores(quality.n_grams(pa.array(texts.values())))
+    texts = {i: t for (i, t), s in zip(texts.items(), scores, strict=True) if s >= 0.3}
+    roots = grouped({i: shingle_set(t) for i, t in texts.items()})
+    items = [(r["item_id"], r["text"]) for r in queries.table(spark, SMALL, "benchmark").collect()]
+    clean = {i: t for i, t in texts.items() if roots[i] == i and not contamination(t, items)[1]}
+    want = {}
+    for i, text in clean.items():
+        ids = np.array([*encode(pii.redacted(text)), packing.CLOSING_ID], dtype="<u4")
+        for start in range(0, len(ids), packing.CAPACITY):
+            piece = ids[start : start + packing.CAPACITY]
+            want[i, start] = (len(piece), len(ids), zlib.crc32(piece.tobytes()))
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    assert {(r["doc_id"], r["start"]): (r["length"], r["doc_tokens"], r["ids_crc32"]) for r in rows} == want
     whole(rows, None)
+    assert len(clean) < len(texts) < docs.count()
