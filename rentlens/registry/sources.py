@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.operators import resolve
+from rentlens.operators.spool import spool_folder
 from rentlens.operators.upsert import KeyedTable
 from rentlens.plans import batch_job, canonical, staging
 from rentlens.registry import base
@@ -16,15 +17,15 @@ from rentlens.registry.filters import STAGE, TARGET
 from rentlens.registry.joins import NAMES_SQL, cache_rows, estates, lookup_rows
 from rentlens.registry.layers import CLEAN, over, vincenty_sql
 from rentlens.schema import CANONICAL, CANONICAL_COLUMNS
-from rentlens.session import shared_folder
 from rentlens.sources import cards, envelope, tables
 from rentlens.sources.driver_tables import table
 from rentlens.sources.gazetteer import PLACES, gazetteer
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for what a query has to write before it can read it."""
-    return f"{shared_folder(spark)}/registry/{name}-{uuid.uuid4().hex}"
+    """A new folder for what a query has to write before it can read it. It goes with
+    what the application spooled."""
+    return f"{spool_folder(spark)}/registry/{name}-{uuid.uuid4().hex}"
 
 
 def canonical_rows(spark, folder) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -21,17 +23,35 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; a temporary one only in local mode."""
+    """The cluster's `spark.checkpoint.dir`; a temporary one only in local mode, where
+    driver and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="rentlens-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def require_shared(spark: SparkSession) -> None:
+    """Raise unless the driver sees what executors write into the shared folder. A job on
+    a new cluster may ask once; it costs two small jobs."""
+    path = f"{shared_folder(spark)}/probe-{uuid.uuid4().hex}"
+    tasks = max(2, spark.sparkContext.defaultParallelism)
+    try:
+        spark.range(tasks, numPartitions=tasks).write.parquet(path)
+        seen = spark.read.schema("id long").parquet(path).count()
+    except Exception as error:
+        raise ValueError(f"spark.checkpoint.dir is not shared: {error}") from error
+    if seen != tasks:
+        raise ValueError(f"spark.checkpoint.dir is not shared: {seen} of {tasks} rows seen")
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def build(app_name: str = "rentlens", cores: int | None = None) -> SparkSession:
     """A local session for tests and the benchmark."""
     return prepare(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rentlens.operators.spool import clear_spool, spool, spool_folder
 from rentlens.schema import CANONICAL
+from rentlens.session import require_shared, shared_folder
 from rentlens.sources import tables
 
 
@@ -89,3 +90,14 @@ def test_spool_is_read_by_column_and_cleared(spark):
     clear_spool(spark)
     assert not folder.exists()
     assert spool(numbers(spark)).count() == 1000
+
+
+def test_shared_folder_is_probed(spark):
+    require_shared(spark)
+    leftovers = [p.name for p in Path(shared_folder(spark)).iterdir() if p.name.startswith("probe-")]
+    assert not leftovers
+
+
+def test_buckets_follow_the_size(spark):
+    assert tables.buckets_for(numbers(spark)) == 8
+    assert tables.buckets_for(numbers(spark, 1_000_000), bytes_each=1 << 18) > 8
