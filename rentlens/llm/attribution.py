@@ -96,7 +96,7 @@ def attribute(
             begin, size = 0, 0
             for i, row in enumerate(rows):
                 more = sum(map(len, row))
-                if i > begin and size + more > tokens.PART_BYTES:
+                if i > begin and size + more > tokens.PART_CHARS:
                     yield part_rows(encoder, ids[begin:i], rows[begin:i])
                     begin, size = i, 0
                 size += more

@@ -18,11 +18,13 @@ import public_tokenizers
 import pyarrow as pa
 import tiktoken
 
-from rentlens.llm.arrays import PART_BYTES, mix, span_hashes
+from rentlens.llm.arrays import mix, span_hashes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Pieces a worker remembers before it starts anew.
-REMEMBERED = 1 << 20
+#: Pieces a worker remembers before it starts anew, and characters it encodes at once, or
+#: one text: what bounds its memory.
+REMEMBERED = 1 << 19
+PART_CHARS = 1 << 19
 
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _KIND = {"L": _LETTER, "N": _NUMBER}
@@ -136,10 +138,9 @@ class Encoder:
             sizes = np.array([len(x) for x in new], dtype=np.int64)
             begin = len(self.ids) + np.cumsum(sizes) - sizes
             self.ids = np.concatenate([self.ids, np.array([i for x in new for i in x], dtype=np.uint32)])
-            order = np.argsort(hashes := np.concatenate([self.hashes, distinct[~known]]), kind="stable")
-            self.hashes = hashes[order]
-            self.begin = np.concatenate([self.begin, begin])[order]
-            self.sizes = np.concatenate([self.sizes, sizes])[order]
+            self.hashes = np.insert(self.hashes, slot[~known], distinct[~known])
+            self.begin = np.insert(self.begin, slot[~known], begin)
+            self.sizes = np.insert(self.sizes, slot[~known], sizes)
             slot = np.searchsorted(self.hashes, distinct)
         return slot
 
@@ -158,7 +159,7 @@ def batches(column: pa.Array) -> Iterator[list[str]]:
     held, size = [], 0
     for text in column.to_pylist():
         text = text or ""
-        if held and size + len(text) > PART_BYTES:
+        if held and size + len(text) > PART_CHARS:
             yield held
             held, size = [], 0
         held.append(text)

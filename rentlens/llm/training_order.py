@@ -39,7 +39,7 @@ from rentlens.session import shared_folder
 
 LENGTH = 2048
 CLOSING_ID = 1
-SHARD = 4096
+SHARD = 2048
 KEY = 20240607
 ROUNDS = 6
 HEADER = np.dtype([("sequence", "<i8"), ("doc_id", "<i8"), ("n_tokens", "<u4"), ("crc32", "<u4")])
