@@ -136,3 +136,24 @@ def op6_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_training_order(spark: SparkSession, folder: str) -> DataFrame:
     return training_order.materialise(table(spark, folder, "documents"))
+
+
+ORACLES["op4_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w FROM documents),
+items AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + k - 1], ' ') AS item
+    FROM (SELECT doc_id, w, least(len(w), 5) AS k, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM items x JOIN items y USING (item) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION SELECT reach.doc_id, edge.b FROM reach JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) edge ON edge.a = reach.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""

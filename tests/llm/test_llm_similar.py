@@ -144,7 +144,7 @@ def test_compact_windows_cover_every_run():
         assert [p for p, _, _ in holds] == [low + int(run.argmin())]
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination"])
+@pytest.mark.parametrize("name", ["op2_decontamination", "op4_near_duplicates"])
 def test_queries_equal_their_sql(spark, name):
     db = duckdb.connect()
     for t in ("documents", "benchmark"):
