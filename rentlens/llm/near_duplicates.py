@@ -30,7 +30,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.llm import arrays
@@ -165,7 +165,7 @@ def _shared_buckets(chosen: DataFrame) -> DataFrame:
     return rows.join(centres, "bucket")
 
 
-def _near_size(x: str, y: str, percent: int) -> F.Column:
+def _near_size(x: str, y: str, percent: int) -> Column:
     """Sets of these sizes can be similar at all."""
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 

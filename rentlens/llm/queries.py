@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.llm import (
@@ -32,7 +32,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checksum(column: str = "doc_id") -> F.Column:
+def checksum(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
