@@ -2,13 +2,18 @@
 
 The vocabulary's split pattern is applied to all texts of a part at once, on arrays of
 code points. Pieces repeat, so only pieces that a worker has not met are encoded by the
-vocabulary's own library; the ids of the others are looked up by a 64-bit hash. Strings of
-special tokens are ordinary text.
+vocabulary's own library; the ids of the others are looked up by a 64-bit hash.
+
+Added tokens that the vocabulary's tokenizers file names are found first, as its library
+does: each is one id, and the texts between them are split as texts of their own.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -86,6 +91,19 @@ def pieces(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the added tokens in the tokenizers file beside a rank file, if there is one."""
+    beside = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as file:
+        listed = json.load(file).get("added_tokens") or []
+    for token in listed:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} matches by more than its text")
+    return {token["content"]: token["id"] for token in listed}
+
+
 class Encoder:
     """Encodes texts; one lives in each worker."""
 
@@ -93,6 +111,10 @@ class Encoder:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = added_tokens(path)
+        # The leftmost, and of those the longest.
+        self.find_added = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))).finditer if self.added else None
+        ranks |= {token.encode(): number for token, number in self.added.items()}
         self.lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, number in ranks.items():
             self.lengths[number] = len(token)
@@ -107,7 +129,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins and ends."""
         points, bounds = code_points(texts)
-        starts = pieces(points, bounds)
+        added = self._added_spans(texts, bounds)
+        starts = pieces(points, np.union1d(bounds, added))
+        if len(added):
+            # An added token is one piece.
+            span = np.searchsorted(added[:, 0], starts, "right") - 1
+            starts = starts[(span < 0) | (starts == added[span, 0]) | (starts >= added[span, 1])]
         if not len(starts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(texts) + 1, dtype=np.int64)
         ends = np.append(starts[1:], len(points))
@@ -121,6 +148,13 @@ class Encoder:
         at = np.concatenate([[0], stops])
         return ids, at[np.searchsorted(starts, bounds)]
 
+    def _added_spans(self, texts: list[str], bounds: np.ndarray) -> np.ndarray:
+        """Begin and end of every added token, in all texts."""
+        if self.find_added is None:
+            return np.zeros((0, 2), dtype=np.int64)
+        spans = [(begin + m.start(), begin + m.end()) for text, begin in zip(texts, bounds.tolist(), strict=False) for m in self.find_added(text)]
+        return np.array(spans, dtype=np.int64).reshape(-1, 2)
+
     def _entries(self, distinct, example, starts, ends, points) -> np.ndarray:
         """The remembered entry of each distinct piece; new ones are encoded first."""
         if len(self.hashes) > REMEMBERED:
@@ -132,8 +166,8 @@ class Encoder:
             where = example[~known]
             encode = self.plain.encode_ordinary
             new = [
-                encode(points[a:b].tobytes().decode("utf-32-le"))
-                for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)
+                [self.added[piece]] if piece in self.added else encode(piece)
+                for piece in (points[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True))
             ]
             sizes = np.array([len(x) for x in new], dtype=np.int64)
             begin = len(self.ids) + np.cumsum(sizes) - sizes

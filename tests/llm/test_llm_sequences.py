@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from rentlens.llm import attribution, packing, pii, quality, queries, training_order
+from rentlens.llm import attribution, packing, pii, quality, queries, tokens, training_order
 from test_llm_similar import contamination, grouped, shingle_set
 
 SMALL = "/root/testdata/sf0.001"
@@ -197,3 +197,20 @@ def test_pipeline_against_brute_force(spark, encode):
     assert {(r["doc_id"], r["start"]): (r["length"], r["doc_tokens"], r["ids_crc32"]) for r in rows} == want
     whole(rows, None)
     assert len(clean) < len(texts) < docs.count()
+
+
+def test_ids_are_those_of_the_library_with_its_added_tokens(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [
+        f"a {mark} b", mark, mark * 3, f"{mark}\n\n x", f"it's  {mark}'s  ", f"\t {mark} \n{mark}", "<|endoftext|", mark[:6], mark[6:],
+        f"<|{mark}|>", f"世界{mark}É 12{mark}34", mark.upper(), "", " plain text",
+    ]
+    vocabulary = tokens.Encoder(tokens.vocabulary())
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        flat, at = vocabulary.encode(texts)
+        assert [flat[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == want
+        assert vocabulary.lengths[flat].sum() == sum(len(t.encode()) for t in texts)
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in rows} == {i: [*ids, packing.CLOSING_ID] for i, ids in enumerate(want)}
