@@ -232,3 +232,50 @@ def test_neighbours_of_defined_cases(spark):
     want = {q: w for q, w in neighbours(sound, [i for i in sound if i % 20 == 0], 5).items()}
     assert got == want
     assert nearest.search(df.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def _words(rng, n: int) -> list[str]:
+    return [f"v{i}" for i in rng.integers(0, 1 << 40, n)]
+
+
+def _sides(row, texts) -> tuple[list[str], list[str]]:
+    a, b = row["passage_start"], row["other_passage_start"]
+    return texts[row["doc_id"]][a : a + row["passage_words"]], texts[row["other_id"]][b : b + row["other_passage_words"]]
+
+
+def _covered(rows, texts, a: int, b: int, passage: list[str]) -> bool:
+    """A row of a and b has all of the passage's own words on both sides, or all but a few."""
+    for r in rows:
+        if (r["doc_id"], r["other_id"]) == (max(a, b), min(a, b)):
+            x, y = _sides(r, texts)
+            if min(len(set(passage) & set(v)) for v in (x, y)) >= len(passage) - 1:
+                return True
+    return False
+
+
+def _passages_of(spark, texts: dict[int, list[str]]) -> list:
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(4)
+    rows = passages.repeated(df).collect()
+    for r in rows:
+        x, y = (shingle_set(" ".join(v)) for v in _sides(r, texts))
+        assert min(r["passage_words"], r["other_passage_words"]) >= 50
+        assert len(x & y) / len(x | y) == pytest.approx(r["passage_similarity"]) and r["passage_similarity"] >= 0.75 - 1e-9
+        assert 0 <= r["start_word"] - r["passage_start"] <= r["passage_words"] - r["n_words"]
+    return rows
+
+
+@pytest.mark.parametrize("size", [50, 60, 80])
+def test_passages_with_a_word_more_or_less(spark, size):
+    rng = np.random.default_rng(size)
+    texts, pairs = {}, []
+    for n in range(60):
+        passage = _words(rng, size)
+        at = int(rng.integers(size // 4, 3 * size // 4))
+        # A deleted word leaves as many words as the shortest passage has.
+        changed = passage[:at] + (_words(rng, 1) + passage[at:] if n % 2 or size == 50 else passage[at + 1 :])
+        for i, middle in ((2 * n, passage), (2 * n + 1, changed)):
+            texts[i] = _words(rng, 40) + middle + _words(rng, 40)
+        pairs.append((2 * n, 2 * n + 1, passage))
+    rows = _passages_of(spark, texts)
+    assert sum(_covered(rows, texts, *p) for p in pairs) >= 0.85 * len(pairs)
+    assert {r["doc_id"] // 2 for r in rows} == {r["other_id"] // 2 for r in rows}
