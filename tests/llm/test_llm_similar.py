@@ -279,3 +279,31 @@ def test_passages_with_a_word_more_or_less(spark, size):
     rows = _passages_of(spark, texts)
     assert sum(_covered(rows, texts, *p) for p in pairs) >= 0.85 * len(pairs)
     assert {r["doc_id"] // 2 for r in rows} == {r["other_id"] // 2 for r in rows}
+
+
+@pytest.mark.parametrize("part", [30, 40, 45, 48])
+def test_passages_that_a_document_of_smaller_id_has_in_part(spark, part):
+    rng = np.random.default_rng(part)
+    texts, pairs = {}, []
+    for n in range(30):
+        passage = _words(rng, 50)
+        texts[3 * n] = _words(rng, 40) + passage[:part] + _words(rng, 40)
+        for i in (1, 2):
+            texts[3 * n + i] = _words(rng, 40) + passage + _words(rng, 40)
+        pairs.append((3 * n + 1, 3 * n + 2, passage))
+    rows = _passages_of(spark, texts)
+    assert all(_covered(rows, texts, *p) for p in pairs)
+
+
+def test_passages_behind_one_line_of_many_documents(spark):
+    """More windows of one token than a block holds, in pairs and each other's strangers."""
+    rng = np.random.default_rng(5)
+    line, texts, pairs = _words(rng, 35), {}, []
+    for n in range(400):
+        more = _words(rng, 15)
+        for i in (n, 400 + n):
+            texts[i] = _words(rng, 40) + line + more + _words(rng, 40)
+        pairs.append((n, 400 + n, line + more))
+    rows = _passages_of(spark, texts)
+    assert all(_covered(rows, texts, *p) for p in pairs)
+    assert {(r["doc_id"], r["other_id"]) for r in rows} == {(400 + n, n) for n in range(400)}
