@@ -20,7 +20,6 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def encode():
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     return lambda text: plain.encode(text or "", add_special_tokens=False).ids
 
 
