@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,8 @@ class Commit:
 
 
 FOLDED = "folded"
+#: A claim without a commit that is older than this does not hold up folding.
+ABANDONED_MS = 24 * 3600 * 1000
 
 
 class KeyedTable:
@@ -48,17 +52,29 @@ class KeyedTable:
     as it was. A write whose key was committed before takes the place and the number of
     that commit, so a replayed batch changes nothing; other keys follow after the last.
 
+    A number is had by creating its claim, which must not exist yet, so two writers cannot
+    have the same one; the store must refuse to create a file twice. Claims are made without
+    gaps, and a fold takes only commits below every claim that is still open.
+
     Readers list the markers once and keep, for each key of a row, the rows of its newest
-    commit. `compact` folds all but the newest commits into one, so the list stays short.
+    commit. With `version`, the row of the largest version counts, whichever commit brought
+    it: what arrives late does not replace what is newer, at any distance and over restarts.
+    `compact` folds all but the newest commits into one, so the list stays short.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        version: Sequence[str] = (),
     ) -> None:
         self.spark = spark
         self.path = path
         self.keys = list(keys)
         self.schema = schema
+        self.version = list(version)
 
     def upsert(self, rows: DataFrame, key: str | int) -> None:
         self.commit(self.stage(rows), key)
@@ -74,25 +90,50 @@ class KeyedTable:
 
     def commit(self, attempt: str, key: str | int) -> None:
         name = re.sub(r"[^A-Za-z0-9_-]", "_", str(key))
-        known = self.commits()
-        before = [c for c in known if c.key == name]
-        number = before[0].number if before else max((c.number for c in known), default=0) + 1
-        self._mark(Commit(number, name, attempt))
+        before = [c for c in self.commits() if c.key == name]
+        commit = Commit(before[0].number if before else self._claim(), name, attempt)
+        self._mark(commit)
+        while commit not in self.commits():
+            # A claim so old that a fold has gone past it; the number is taken anew.
+            if any(c.key == name for c in self.commits()):
+                break
+            late, commit = commit, Commit(self._claim(), name, attempt)
+            self._mark(commit)
+            self._unmark(late)
         self._discard(before)
 
-    def commits(self) -> list[Commit]:
-        """What is committed and not folded, by number; one list of small files."""
+    def _claim(self) -> int:
+        """The next number, which no other writer can have."""
+        fs, hadoop_path = self._file_system()
+        commits, claims = self._log()
+        number = max([c.number for c in commits] + [*claims], default=0) + 1
+        while True:
+            try:
+                fs.create(hadoop_path(f"{self.path}/_log/{number:012d}"), False).close()
+                return number
+            except Py4JJavaError as error:
+                if not fs.exists(hadoop_path(f"{self.path}/_log/{number:012d}")):
+                    raise error
+                number += 1
+
+    def _log(self) -> tuple[list[Commit], dict[int, int]]:
+        """What is committed and not folded, by number; and claims with their times. One
+        list of small files."""
         fs, hadoop_path = self._file_system()
         folder = hadoop_path(f"{self.path}/_log")
         if not fs.exists(folder):
-            return []
+            return [], {}
         marks = sorted(fs.listStatus(folder), key=lambda s: (s.getModificationTime(), s.getPath().getName()))
-        parts = [s.getPath().getName().split(".") for s in marks]
+        parts = [(s.getPath().getName().split("."), s.getModificationTime()) for s in marks]
         # Of two markers of one key, the later one counts: the other is being discarded.
-        newest = {p[1]: Commit(int(p[0]), p[1], p[2]) for p in parts if len(p) == 3}
+        newest = {p[1]: Commit(int(p[0]), p[1], p[2]) for p, _ in parts if len(p) == 3}
         folded = max((c.number for c in newest.values() if c.key == FOLDED), default=0)
         live = [c for c in newest.values() if c.number > folded or c.key == FOLDED]
-        return sorted(live, key=lambda c: c.number)
+        claims = {int(p[0]): at for p, at in parts if len(p) == 1 and p[0].isdigit()}
+        return sorted(live, key=lambda c: c.number), claims
+
+    def commits(self) -> list[Commit]:
+        return self._log()[0]
 
     def read(self) -> DataFrame:
         commits = self.commits()
@@ -108,6 +149,8 @@ class KeyedTable:
             rows = rows.unionByName(more)
         # Newest commit per key by partial maxima, then a semi join: a key with very
         # many rows is split by the adaptive skew join, never gathered.
+        if self.version:
+            rows = rows.withColumn("_commit", F.struct(*self.version, "_commit"))
         newest = rows.groupBy(*self.keys).agg(F.max("_commit").alias("_commit"))
         return rows.join(newest, [*self.keys, "_commit"], "left_semi").select(
             self.schema.fieldNames()
@@ -116,14 +159,24 @@ class KeyedTable:
     def compact(self, keep: int = 1, where: Column | None = None) -> None:
         """Fold all but the newest `keep` commits into one, with only those of their rows
         for which `where` holds. The newest stay, since they may be replayed."""
-        commits = self.commits()
-        old = commits[: max(0, len(commits) - keep)]
+        commits, claims = self._log()
+        done = {c.number for c in commits}
+        youngest = time.time() * 1000 - ABANDONED_MS
+        folded = max((c.number for c in commits if c.key == FOLDED), default=0)
+        open_ = [n for n, at in claims.items() if n > folded and n not in done and at > youngest]
+        least = min(open_, default=None)
+        old = [c for c in commits[: max(0, len(commits) - keep)] if least is None or c.number < least]
         if len(old) < 2:
             return
         rows = _Selected(self, old).read()
         attempt = self.stage(rows if where is None else rows.filter(where))
-        self._mark(Commit(old[-1].number, FOLDED, attempt))
+        fold = Commit(old[-1].number, FOLDED, attempt)
+        self._mark(fold)
         self._discard(old)
+        fs, hadoop_path = self._file_system()
+        for number in claims:
+            if number < fold.number:
+                fs.delete(hadoop_path(f"{self.path}/_log/{number:012d}"), False)
 
     def discard(self, attempt: str) -> None:
         """Delete what was staged and is not to be committed."""
@@ -134,11 +187,15 @@ class KeyedTable:
         fs, hadoop_path = self._file_system()
         fs.create(hadoop_path(f"{self.path}/_log/{commit.name}"), True).close()
 
+    def _unmark(self, commit: Commit) -> None:
+        fs, hadoop_path = self._file_system()
+        fs.delete(hadoop_path(f"{self.path}/_log/{commit.name}"), False)
+
     def _discard(self, commits: Sequence[Commit]) -> None:
         """Markers first, so that no reader finds one without its rows."""
         fs, hadoop_path = self._file_system()
         for commit in commits:
-            fs.delete(hadoop_path(f"{self.path}/_log/{commit.name}"), False)
+            self._unmark(commit)
         for commit in commits:
             fs.delete(hadoop_path(self._folder(commit.attempt)), True)
 
@@ -155,7 +212,7 @@ class _Selected(KeyedTable):
     """The table as some of its commits make it."""
 
     def __init__(self, table: KeyedTable, commits: Sequence[Commit]) -> None:
-        super().__init__(table.spark, table.path, table.schema, table.keys)
+        super().__init__(table.spark, table.path, table.schema, table.keys, table.version)
         self._commits = list(commits)
 
     def commits(self) -> list[Commit]:

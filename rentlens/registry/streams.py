@@ -6,17 +6,18 @@ the streaming job over them to the end, and returns what its sink holds.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.operators.dedupe import latest_per_key
 from rentlens.plans import staging
 from rentlens.registry import base
 from rentlens.registry.base import query
 from rentlens.registry.layers import NEWEST, over
 from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
 from rentlens.schema import CANONICAL_COLUMNS, ENVELOPE, LANDED
-from rentlens.sources import envelope, tables
+from rentlens.sources import tables
 from rentlens.streaming import ingest
 
 GOOD = f"(SELECT * FROM raw WHERE NOT ({ENVELOPE_BAD}))"
@@ -36,6 +37,16 @@ def with_repeats(rows: DataFrame) -> DataFrame:
     return rows.unionByName(again.withColumn("arrival", F.col("arrival") + 60))
 
 
+def in_turns(spark, rows: DataFrame, turns) -> Iterator[DataFrame]:
+    """The stream of one folder to which thirds of the deliveries, by sequence number, are
+    added one after the other, many files at once."""
+    path, seq = scratch(spark, "turns"), F.col("seq").cast("long")
+    third = F.floor(seq / rows.agg(F.max(seq) / 3 + 1).first()[0])
+    for i in turns:
+        rows.filter(third == i).write.mode("append").json(path)
+        yield ingest.envelope_stream(spark, path)
+
+
 def finish(*running) -> None:
     for q in running:
         q.awaitTermination()
@@ -194,18 +205,12 @@ def st2(spark, folder):
     ),
 )
 def st3(spark, folder):
-    """Order within a key comes from the sequence number, not from the file."""
-    def last(batch: DataFrame, batch_id: int, _: str) -> None:
-        rows = envelope.valid_rows(envelope.decode(batch)).withColumn(
-            "_number", F.col("_seq").cast("long")
-        )
-        latest_per_key(rows, ["property_id"], ["_number"]).drop("_number").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/batch_id={batch_id}")
-
-    path, marks = scratch(spark, "ordered"), scratch(spark, "checkpoints")
-    finish(ingest.start_batches(delivered(spark, folder), marks, last))
-    return spark.read.parquet(path).select("property_id", "price_ksh", "_seq")
+    """Batches come latest first, each after a restart from the checkpoint, and repeat
+    deliveries; the order within a key comes from the sequence number."""
+    path, marks = scratch(spark, "current"), scratch(spark, "checkpoints")
+    for stream in in_turns(spark, with_repeats(envelopes(spark, folder)), (2, 0, 1)):
+        finish(ingest.start_current(stream, path, marks))
+    return ingest.current_table(spark, path).read().select("property_id", "price_ksh", "_seq")
 
 
 @query(
@@ -228,13 +233,8 @@ def st5(spark, folder):
     path, marks = scratch(spark, "history"), scratch(spark, "checkpoints")
     stream = delivered(spark, folder, repeats=True)
     finish(ingest.start_history(stream, path, f"{marks}/whole", asof=stamp()))
-    rows, split = with_repeats(envelopes(spark, folder)), scratch(spark, "split")
-    # Later deliveries in later files, one file a batch.
-    turn = F.floor(F.col("seq").cast("long") / rows.agg(F.max(F.col("seq").cast("long")) / 3 + 1).first()[0])
-    for i in range(3):
-        rows.filter(turn == i).coalesce(1).write.mode("append").json(split)
-    parts = ingest.envelope_stream(spark, split, files_per_batch=1)
-    finish(ingest.start_history(parts, path, f"{marks}/parts", asof=stamp()))
+    for part in in_turns(spark, with_repeats(envelopes(spark, folder)), (0, 1, 2)):
+        finish(ingest.start_history(part, path, f"{marks}/parts", asof=stamp()))
     return ingest.history_table(spark, path).read().select(HISTORY_COLUMNS)
 
 

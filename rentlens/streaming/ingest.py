@@ -28,13 +28,18 @@ from rentlens.schema import CANONICAL, CANONICAL_COLUMNS, ENVELOPE
 from rentlens.sources import envelope
 from rentlens.sources.tables import ARCHIVE_PARTITIONS, archive_schema
 
+# Sequence numbers are decimal text of any length, so the longer one is later.
+VERSION = ["_digits", "_seq"]
+_VERSION_FIELDS = [T.StructField("_digits", T.IntegerType()), T.StructField("_seq", T.StringType())]
 HISTORY_SCHEMA = T.StructType(
     [
         *CANONICAL.fields,
         T.StructField("scraped_date", T.StringType()),
         T.StructField("expires_at", T.LongType()),
+        *_VERSION_FIELDS,
     ]
 )
+CURRENT_SCHEMA = T.StructType([*CANONICAL.fields, *_VERSION_FIELDS])
 HISTORY_KEYS = ["property_id", "scraped_date"]
 
 
@@ -167,10 +172,7 @@ def store_counts(spark: SparkSession, seen: Observation, path: str) -> None:
 
 
 def history_rows(valid: DataFrame, asof: Column, s: Settings = DEFAULTS) -> DataFrame:
-    """Keyed, stamped rows; the last delivery of a key in the batch wins.
-
-    Sequence numbers are decimal text of any length, so the longer one is later.
-    """
+    """Keyed, stamped rows; the last delivery of a key in the batch wins."""
     keyed = valid.filter(F.coalesce("property_id", F.lit("")) != "").select(
         *CANONICAL_COLUMNS,
         first_non_empty(F.col("scraped_at"), iso_utc(asof)).alias("scraped_date"),
@@ -178,11 +180,33 @@ def history_rows(valid: DataFrame, asof: Column, s: Settings = DEFAULTS) -> Data
         F.length("_seq").alias("_digits"),
         "_seq",
     )
-    return latest_per_key(keyed, HISTORY_KEYS, ["_digits", "_seq"]).drop("_digits", "_seq")
+    return latest_per_key(keyed, HISTORY_KEYS, VERSION)
 
 
 def history_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, HISTORY_SCHEMA, HISTORY_KEYS)
+    return KeyedTable(spark, path, HISTORY_SCHEMA, HISTORY_KEYS, VERSION)
+
+
+def current_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, CURRENT_SCHEMA, ["property_id"], VERSION)
+
+
+def start_current(
+    envelopes: DataFrame, path: str, checkpoint: str, s: Settings = DEFAULTS
+) -> StreamingQuery:
+    """The last delivery of each listing by its sequence number, in whatever order files,
+    batches and restarts bring them. A batch keeps its own last rows; the table compares
+    versions between batches, so the stream needs no state, and no delivery is too late."""
+    table = current_table(envelopes.sparkSession, path)
+
+    def store(batch: DataFrame, batch_id: int, query: str) -> None:
+        rows = envelope.valid_rows(envelope.decode(batch)).filter(F.coalesce("property_id", F.lit("")) != "")
+        numbered = rows.select(*CANONICAL_COLUMNS, F.length("_seq").alias("_digits"), "_seq")
+        table.upsert(latest_per_key(numbered, ["property_id"], VERSION), f"{query}-{batch_id}")
+        if len(table.commits()) > s.history_commits:
+            table.compact()
+
+    return start_batches(envelopes, checkpoint, store)
 
 
 def start_history(
@@ -192,7 +216,8 @@ def start_history(
     asof: Column | None = None,
     s: Settings = DEFAULTS,
 ) -> StreamingQuery:
-    """One row per listing and observation; a later write of the same key wins.
+    """One row per listing and observation; of deliveries of one key the later wins, by
+    sequence number, in whichever batch it comes.
 
     Records without an id are skipped and counted. A batch that yields nothing at
     all fails, so that it is delivered again. When commits add up, old ones are folded
