@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rentlens.config import DEFAULTS, Settings
 from rentlens.functions.geo import geodesic_km
 from rentlens.functions.text import first_part
-from rentlens.operators.fuzzy import best_by_edits, weighted_matches
+from rentlens.operators.fuzzy import best_by_edits, best_matches
 from rentlens.operators.spool import spool
 from rentlens.sources.gazetteer import NAMES, gazetteer
 
@@ -31,30 +31,23 @@ def from_cache(texts: DataFrame, cache: DataFrame) -> DataFrame:
     )
 
 
-def from_gazetteer(texts: DataFrame, s: Settings = DEFAULTS, match_case: bool = False) -> DataFrame:
-    """Best known place by the weighted scorer, at or above the cutoff.
+def from_gazetteer(
+    texts: DataFrame, s: Settings = DEFAULTS, match_case: bool = False, places: DataFrame | None = None
+) -> DataFrame:
+    """Best known place by the weighted scorer, at or above the cutoff; the place of lower
+    `pos` wins a tie. `places`: pos, name, lat, lon, of any number.
 
-    Only equal letters score 100, so a join settles those texts. The others are small but
-    slow to score, so they are spread over all tasks by count; left alone, the planner
-    would merge them into few tasks by their bytes.
+    Only equal letters score 100, so a join settles those texts.
     """
-    spark = texts.sparkSession
-    places = gazetteer(spark)
+    places = gazetteer(texts.sparkSession) if places is None else places
     key, name_key = F.col("raw_string"), F.col("name")
     if not match_case:
         key, name_key = F.lower(key), F.lower(name_key)
     found = ["raw_string", F.col("name").alias("matched_name"), "lat", "lon"]
-    equal = texts.join(places, key == name_key).select(*found, F.lit(100.0).alias("score"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    match = weighted_matches(NAMES, s.fuzzy_cutoff, match_case)
-    scored = (
-        texts.join(equal, "raw_string", "left_anti")
-        .repartition(tasks, "raw_string")
-        .withColumn("_match", match("raw_string"))
-        .filter("_match.name IS NOT NULL")
-    )
-    scored = scored.join(places, F.col("_match.name") == places["name"])
-    return equal.unionByName(scored.select(*found, F.col("_match.score").alias("score")))
+    first = places.groupBy(name_key.alias("_key")).agg(F.min_by(F.struct("name", "lat", "lon"), "pos").alias("_place"))
+    equal = texts.join(first, key == first["_key"]).select("raw_string", "_place.*").select(*found, F.lit(100.0).alias("score"))
+    matches = best_matches(texts.join(equal, "raw_string", "left_anti"), places, s.fuzzy_cutoff, match_case)
+    return equal.unionByName(matches.join(places, "pos").select(*found, "score"))
 
 
 def from_gazetteer_by_edits(texts: DataFrame, s: Settings = DEFAULTS) -> DataFrame:

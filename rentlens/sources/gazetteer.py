@@ -100,5 +100,6 @@ NAMES = [name for name, _, _ in PLACES]
 
 
 def gazetteer(spark: SparkSession) -> DataFrame:
-    """A local relation, whose size the planner knows."""
-    return spark.createDataFrame(PLACES, "name string, lat double, lon double")
+    """A local relation, whose size the planner knows; `pos` decides ties."""
+    rows = [(i, *place) for i, place in enumerate(PLACES)]
+    return spark.createDataFrame(rows, "pos long, name string, lat double, lon double")
