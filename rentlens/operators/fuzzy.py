@@ -14,6 +14,7 @@ one length with that word the first stands for all, so a common word adds few ca
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -340,6 +341,17 @@ def highest_possible(common: Column, is_near: Column) -> Column:
     return F.when(is_near, near).otherwise(far) + slack
 
 
+# Expressions of some thousand nodes, which take longer to put together than to use.
+@cache
+def _score() -> Column:
+    return weighted_ratio(F.col("a"), F.col("b")).alias("score")
+
+
+@cache
+def _side() -> Column:
+    return side(F.col("key"))
+
+
 def best_matches(
     texts: DataFrame, names: DataFrame, cutoff: float, match_case: bool = False
 ) -> DataFrame:
@@ -363,10 +375,10 @@ def best_matches(
     # Beyond eight times the longest name no score reaches the cutoff.
     asked = spool(_index(keyed.filter(F.length("key") <= int(FAR_FROM * longest)).select("key").distinct(), cutoff))
     pairs = spool(candidates(asked, listed, cutoff))
-    mine, theirs = asked.select("key", side(F.col("key")).alias("a")), listed.select("pos", side(F.col("key")).alias("b"))
+    mine, theirs = asked.select("key", _side().alias("a")), listed.select("pos", _side().alias("b"))
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    score = weighted_ratio(F.col("a"), F.col("b")).alias("score")
+    score = _score()
 
     def scored(some: DataFrame) -> DataFrame:
         # Pairs are small but slow to score, so they are spread over all tasks by count; left
