@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -156,9 +156,15 @@ class KeyedTable:
             self.schema.fieldNames()
         )
 
-    def compact(self, keep: int = 1, where: Column | None = None) -> None:
+    def compact(
+        self,
+        keep: int = 1,
+        where: Column | None = None,
+        change: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> None:
         """Fold all but the newest `keep` commits into one, with only those of their rows
-        for which `where` holds. The newest stay, since they may be replayed."""
+        for which `where` holds, and as `change` makes them. The newest stay, since they may
+        be replayed."""
         commits, claims = self._log()
         done = {c.number for c in commits}
         youngest = time.time() * 1000 - ABANDONED_MS
@@ -169,7 +175,8 @@ class KeyedTable:
         if len(old) < 2:
             return
         rows = _Selected(self, old).read()
-        attempt = self.stage(rows if where is None else rows.filter(where))
+        rows = rows if where is None else rows.filter(where)
+        attempt = self.stage(rows if change is None else change(rows))
         fold = Commit(old[-1].number, FOLDED, attempt)
         self._mark(fold)
         self._discard(old)

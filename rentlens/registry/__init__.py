@@ -4,6 +4,7 @@ from rentlens.registry import (  # noqa: F401  (importing registers)
     aggregates,
     filters,
     joins,
+    loads,
     models,
     quality,
     scalars,
