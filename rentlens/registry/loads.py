@@ -1,4 +1,4 @@
-"""Q6 and Q8 kept up to date by loads."""
+"""Q6 and Q8 kept up to date by loads, and S7 looked up in a stored table."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from rentlens.registry import base
 from rentlens.registry.base import query
 from rentlens.registry.layers import over
 from rentlens.registry.sources import scratch
+from rentlens.sources import tables
+from rentlens.sources.driver_tables import table
 
 
 def after_loads(spark, folder, loads: int = 3) -> PriceCounts:
@@ -50,3 +52,20 @@ def q6_after_loads(spark, folder):
 )
 def q8_after_loads(spark, folder):
     return after_loads(spark, folder).mart("neighbourhood", "month_start")
+
+
+@query(
+    "s7_point_lookup",
+    over(
+        "stg",
+        """SELECT property_id, neighbourhood, price_ksh FROM stg
+           WHERE property_id IN (SELECT 'brk-' || max(c_custkey) FROM customer GROUP BY c_nationkey)""",
+    ),
+)
+def s7_lookup(spark, folder):
+    """The latest price of one listing of each nation, the feature being a lookup by key."""
+    path = scratch(spark, "lookups")
+    rows = staging.staged_listings(base.landed(spark, folder))
+    tables.write_lookups(rows.select("property_id", "neighbourhood", "price_ksh"), path, "property_id", "neighbourhood")
+    newest = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.max("c_custkey").alias("c"))
+    return tables.look_up(spark.read.parquet(path), "property_id", [f"brk-{r['c']}" for r in newest.collect()])

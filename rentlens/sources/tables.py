@@ -123,10 +123,31 @@ def buckets_for(df: DataFrame, bytes_each: int = 128 << 20, least: int = 8) -> i
     return max(least, -(-size // bytes_each))
 
 
-def column_listing(spark: SparkSession, name: str) -> DataFrame:
-    """Name, type and position of each column of a table or view."""
-    columns = spark.catalog.listColumns(name)
-    return spark.createDataFrame(
-        [(c.name, c.dataType, i) for i, c in enumerate(columns, start=1)],
-        "column_name string, data_type string, ordinal_position int",
+#: Rows of a table for lookups that are skipped or read together, in bytes as stored.
+LOOKUP_BLOCK = 16 << 20
+
+
+def write_lookups(
+    df: DataFrame, path: str, key: str, cluster: str, block_bytes: int = LOOKUP_BLOCK, distinct: int = 1 << 17
+) -> None:
+    """Store a table so that a lookup reads few blocks: rows lie in ranges of `cluster`,
+    whose statistics rule blocks out, and every block has a Bloom filter of `key`, made for
+    so many distinct keys. The key's dictionary would be as long as the block."""
+    (
+        df.repartitionByRange(cluster, key)
+        .sortWithinPartitions(cluster, key)
+        .write.option("parquet.block.size", block_bytes)
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{key}", distinct)
+        .option(f"parquet.enable.dictionary#{key}", "false")
+        .parquet(path)
     )
+
+
+def look_up(stored: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """Rows with some values. They are written as single comparisons, which the scan hands
+    to statistics and Bloom filters; a long list would become a range."""
+    wanted = F.lit(False)
+    for value in values:
+        wanted = wanted | (F.col(column) == value)
+    return stored.filter(wanted)

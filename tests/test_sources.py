@@ -101,3 +101,34 @@ def test_shared_folder_is_probed(spark):
 def test_buckets_follow_the_size(spark):
     assert tables.buckets_for(numbers(spark)) == 8
     assert tables.buckets_for(numbers(spark, 1_000_000), bytes_each=1 << 18) > 8
+
+
+def rows_scanned(df):
+    """What the scan gave to the filter above it: rows of blocks that were not skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_blocks(spark, tmp_path):
+    n = 400_000
+    rows = spark.range(n).select(
+        F.concat(F.lit("brk-"), F.sha1(F.col("id").cast("string"))).alias("property_id"),
+        F.concat(F.lit("place "), (F.col("id") * 7919 % 997).cast("string")).alias("neighbourhood"),
+        (F.col("id") % 50_000).cast("int").alias("price_ksh"),
+    )
+    path = str(tmp_path / "t")
+    tables.write_lookups(rows, path, "property_id", "neighbourhood", block_bytes=256 << 10, distinct=8_000)
+    stored = spark.read.parquet(path)
+    wanted = [r["property_id"] for r in rows.filter("id % 150000 = 77").collect()]
+    found = tables.look_up(stored, "property_id", wanted)
+    assert sorted(r["property_id"] for r in found.collect()) == sorted(wanted)
+    assert rows_scanned(found) < n / 10
+    near = tables.look_up(stored, "neighbourhood", ["place 500"])
+    assert near.count() == rows.filter("neighbourhood = 'place 500'").count()
+    assert rows_scanned(tables.look_up(stored, "neighbourhood", ["place 500"])) < n / 10
+    none = tables.look_up(stored, "property_id", ["brk-none"])
+    assert none.count() == 0 and rows_scanned(none) < n / 10
+    assert tables.look_up(stored, "property_id", []).collect() == []
