@@ -104,17 +104,27 @@ class KeyedTable:
 
     def _claim(self) -> int:
         """The next number, which no other writer can have."""
-        fs, hadoop_path = self._file_system()
         commits, claims = self._log()
         number = max([c.number for c in commits] + [*claims], default=0) + 1
-        while True:
-            try:
-                fs.create(hadoop_path(f"{self.path}/_log/{number:012d}"), False).close()
-                return number
-            except Py4JJavaError as error:
-                if not fs.exists(hadoop_path(f"{self.path}/_log/{number:012d}")):
-                    raise error
-                number += 1
+        while not self._created(f"{self.path}/_log/{number:012d}"):
+            number += 1
+        return number
+
+    def _created(self, path: str) -> bool:
+        """Create a file, unless there is one: never twice, whoever else tries. Hadoop's local
+        file system looks first and creates then, so local files are made by Java itself."""
+        fs, hadoop_path = self._file_system()
+        place = fs.makeQualified(hadoop_path(path))
+        if fs.getUri().getScheme() == "file":
+            fs.mkdirs(place.getParent())
+            return self.spark._jvm.java.io.File(place.toUri().getPath()).createNewFile()
+        try:
+            fs.create(place, False).close()
+            return True
+        except Py4JJavaError:
+            if fs.exists(place):
+                return False
+            raise
 
     def _log(self) -> tuple[list[Commit], dict[int, int]]:
         """What is committed and not folded, by number; and claims with their times. One

@@ -123,7 +123,16 @@ def buckets_for(df: DataFrame, bytes_each: int = 128 << 20, least: int = 8) -> i
     return max(least, -(-size // bytes_each))
 
 
-#: Rows of a table for lookups that are skipped or read together, in bytes as stored.
+def column_listing(spark: SparkSession, name: str) -> DataFrame:
+    """Name, type and position of each column of a table or view."""
+    columns = spark.catalog.listColumns(name)
+    return spark.createDataFrame(
+        [(c.name, c.dataType, i) for i, c in enumerate(columns, start=1)],
+        "column_name string, data_type string, ordinal_position int",
+    )
+
+
+#: Bytes of a table for lookups that are skipped or read together.
 LOOKUP_BLOCK = 16 << 20
 
 
