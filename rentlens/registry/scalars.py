@@ -385,6 +385,22 @@ def f14(spark, folder):
     )
 
 
+ANTIPODES = """(SELECT c_custkey, 1.285e0 + (c_custkey % 211 - 105) / 100e0 AS lat,
+  -143.1742e0 + (c_custkey % 97 - 48) / 50e0 AS lon FROM customer)"""
+
+
+@query("f14_geodesic_opposite", layers.opposite_sql(ANTIPODES, "c_custkey", "km"))
+def f14_opposite(spark, folder):
+    """Points around the antipode of the origin, where iterating on the longitude fails."""
+    key = F.col("c_custkey")
+    lat = F.lit(1.285) + (key % 211 - 105) / F.lit(100.0)
+    lon = F.lit(-143.1742) + (key % 97 - 48) / F.lit(50.0)
+    return table(spark, folder, "customer").select(
+        "c_custkey",
+        geo.geodesic_km(lat, lon, DEFAULTS.origin_lat, DEFAULTS.origin_lon).alias("km"),
+    )
+
+
 @query("f15_stable_id", "SELECT page_id, 'brk-' || substr(md5(url), 1, 12) AS id FROM pages")
 def f15(spark, folder):
     return table(spark, folder, "pages").select(
