@@ -220,9 +220,11 @@ def geodesic_m(
         settled = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), p["delta"], step(p))
 
         def decide(at: Column) -> Column:
-            still = F.abs(step(p)(at["lam"], at["lam"]) - at["lam"]) < SETTLED
-            near = _by_longitude(p, at["lam"], lambda s, _: s["cos_sigma"]) > OPPOSITE
-            return F.when(still & near, _by_longitude(p, at["lam"], _metres)).otherwise(_opposite(p))
+            def length(s: Column, mid: Column) -> Column:
+                off = F.abs(p["delta"] + _flattened(s, mid) - at["lam"])
+                return F.when((off < SETTLED) & (s["cos_sigma"] > OPPOSITE), _metres(s, mid))
+
+            return F.coalesce(_by_longitude(p, at["lam"], length), _opposite(p))
 
         return _let({"lam": settled}, decide)
 
