@@ -97,7 +97,20 @@ def _iban(text: str) -> bool:
     return 15 <= len(packed) <= 34 and mod_97(packed)
 
 
-_PROPOSED = [("ip", _IP, _ip), ("card", _CARD, _card), ("phone", _PHONE, _phone), ("iban", _IBAN, _iban), ("ssn", _SSN, lambda _: True)]
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest end at the end of a word that passes the check, since words in capitals
+    may follow the number; the search goes on from there."""
+    at = 0
+    while found := _IBAN.search(text, at):
+        start, last = found.span()
+        ends = (e for e in range(last, start, -1) if (e == last or text[e] == " ") and _iban(text[start:e]))
+        end = next(ends, None)
+        if end is not None:
+            yield start, end
+        at = start + 1 if end is None else end
+
+
+_PROPOSED = [("ip", _IP, _ip), ("card", _CARD, _card), ("phone", _PHONE, _phone), ("ssn", _SSN, lambda _: True)]
 
 
 def _score(text: str, kind: str, start: int, end: int) -> float:
@@ -109,7 +122,7 @@ def _score(text: str, kind: str, start: int, end: int) -> float:
 def spans(text: str | None) -> list[tuple[str, int, int, float]]:
     """Kind, start, end and score of all spans, by start and then by kind."""
     text = text or ""
-    found = [("email", a, b) for a, b in _emails(text)]
+    found = [("email", a, b) for a, b in _emails(text)] + [("iban", a, b) for a, b in _ibans(text)]
     for kind, pattern, holds in _PROPOSED:
         found += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if holds(m[0])]
     scored = [(kind, a, b, _score(text, kind, a, b)) for kind, a, b in found]

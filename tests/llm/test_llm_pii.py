@@ -54,6 +54,16 @@ def test_checksums_and_context():
     assert "ssn" in kinds("social security 123-45-6789") and "ssn" not in kinds("part 123-45-6789")
 
 
+def test_words_in_capitals_may_follow_an_iban():
+    ibans = lambda text: [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"]
+    spanish, german, british = "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    for after in ("", " FOR", " IS", " BANK", " FOR THE", " A", ".", " IBAN " + british):
+        assert ibans(f"IBAN {spanish}{after}")[0] == spanish
+    assert ibans(f"{spanish} {german} {british} {spanish}") == [spanish, german, british, spanish]
+    assert ibans("AB12 CD34 " + german) == [german]
+    assert ibans(spanish[:-1] + "3 FOR") == [] == ibans(spanish + "Q")
+
+
 def test_long_runs_take_linear_time():
     for text in ("9" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1" + "(" * 300_000, "@" * 100_000, "A1 " * 100_000):
         pii.spans(text)
