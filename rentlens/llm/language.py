@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Fractions, Roman numerals and the like are word characters to a pattern, but no letters.
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 RESULT = "doc_id long, lang_pred string, score double, accepted boolean"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zstandard
 from pyspark.sql import functions as F
 
 from rentlens.llm import language, quality, queries
@@ -37,6 +38,29 @@ def test_margins_decide_acceptance():
     assert model.predict("q")[::2] == ("a", False)
 
 
+def test_number_signs_are_no_letters():
+    model = language.Model({"a": b"alpha beta gamma"})
+    for text in ("½", "² ①", "Ⅷ ⅳ", "3/4 ٣ _ 🙂", "〇"):
+        assert model.predict(text) == ("und", 0.0, False)
+    for text in ("ª", "é", "世 ½", "一"):
+        assert model.predict(text)[0] == "a"
+
+
+def test_language_against_a_plain_loop(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.001", "documents")
+    model = language.fit(docs)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, model).collect()}
+    for row in docs.collect():
+        words = "".join(c if c.isalpha() else " " for c in (row["text"] or "").lower()).split()
+        data, best = " ".join(words).encode(), ("und", 0)
+        for n, (lang, passage) in enumerate(sorted(model.dictionaries.items()) if data else []):
+            held = zstandard.ZstdCompressionDict(passage, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(dict_data=held, level=model.settings.level, write_content_size=False, write_dict_id=False)
+            size = sum(len(coder.compress(data[i : i + 2048])) for i in range(0, len(data), 2048))
+            best = (lang, size) if n == 0 or size < best[1] else best
+        assert got[row["doc_id"]] == best[0]
+
+
 def test_quality_of_held_out_documents(spark):
     found = queries.op7_quality(spark, SMALL)
     assert found.count() == 1000
