@@ -18,8 +18,10 @@ whose sketches could stand for the similarity are compared too. All links are co
 on the full sets (as 64-bit hashes of the shingles).
 
 Defined results: null text, or text without words, has an empty set and links with
-nothing. A row without id takes no part: its component is null and it is kept. Repeated
-rows of one id are one document. Ties do not arise, since the smallest id stays.
+nothing. A row without id takes no part: its component is null and it is kept. Rows of one
+id are one document: where their sets differ, the set of smallest key that is not empty
+stands for it, and all its rows get the size and component of that set. Ties do not arise,
+since the smallest id stays.
 """
 
 from __future__ import annotations
@@ -99,6 +101,11 @@ def bands(values: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _keys(items: np.ndarray) -> np.ndarray:
+    """128 bits that stand for a set."""
+    return np.frombuffer(hashlib.blake2b(items.tobytes(), digest_size=16).digest(), np.int64)
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     """Size, 128-bit key and band keys of the set of every row of `docs`."""
 
@@ -106,7 +113,7 @@ def sketched(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in arrays.parts(batch):
                 found = sets(part.column("text"))
-                keys = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in found])
+                keys = np.array([_keys(s) for s in found])
                 made = [bands(sketch(s)) if len(s) else None for s in found]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -125,28 +132,59 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of `docs` (doc_id, text)."""
+    return _grouped(docs, percent).drop("key_a")
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """The columns of `groups`, and a key of the set that stands for the id."""
     rows = spool(sketched(docs))
-    sized = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    repeated = spool(_repeated(rows))
+    rows = _one_set(rows, repeated)
+    sized = rows.filter("doc_id IS NOT NULL AND n_shingles > 0 AND own")
     # A class is a set; its document of smallest id stands for it.
     classes = spool(
         sized.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
     )
     chosen = sized.join(classes, (sized["doc_id"] == classes["rep"]) & (sized["key_a"] == classes["key_a"]) & (sized["key_b"] == classes["key_b"]))
-    roots = _class_roots(docs, chosen.select("rep", "n", "bands"), percent)
+    chosen = _once(chosen.select("rep", "n", sized["key_a"], "bands"), repeated, "rep")
+    roots = _class_roots(docs, repeated, chosen, percent)
     placed = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         "key_a", "key_b", F.coalesce("root", "rep").alias("_root")
     )
-    # One id may stand on rows of several texts, which are then one document.
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
     return rows.join(placed, ["key_a", "key_b"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id")).alias("component_id"), "key_a"
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _class_roots(docs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Ids on more than one row, with the size and keys of the set that stands for each."""
+    stands = F.min(F.struct((F.col("n_shingles") == 0).alias("empty"), "key_a", "key_b", "n_shingles"))
+    ids = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_rows"), stands.alias("_set"))
+    return ids.filter("_rows > 1").select("doc_id", *[F.col(f"_set.{c}").alias(f"_{c}") for c in ("key_a", "key_b", "n_shingles")])
+
+
+def _one_set(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`rows` with the keys and size that stand for their id, and own: whether the bands
+    are those of that set."""
+    same = (F.col("key_a") == F.col("_key_a")) & (F.col("key_b") == F.col("_key_b"))
+    return rows.join(repeated, "doc_id", "left").select(
+        "doc_id", *[F.coalesce(f"_{c}", c).alias(c) for c in ("n_shingles", "key_a", "key_b")],
+        "bands", F.coalesce(same, F.lit(True)).alias("own"),
+    )
+
+
+def _once(rows: DataFrame, repeated: DataFrame, column: str) -> DataFrame:
+    """`rows` with one row for each of the repeated ids in `column`; only these are moved."""
+    ids = repeated.select(F.col("doc_id").alias(column))
+    return rows.join(ids, column, "left_anti").unionByName(rows.join(ids, column, "left_semi").dropDuplicates([column]))
+
+
+def _class_roots(docs: DataFrame, repeated: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     """node and root of every class that is linked with another."""
     members = spool(_shared_buckets(chosen))
-    held = spool(_full_sets(docs, members.select(F.col("rep").alias("doc_id")).distinct()))
+    wanted = members.select(F.col("rep").alias("doc_id"), "key_a").distinct()
+    held = spool(_once(_full_sets(docs, wanted), repeated, "doc_id"))
     links = spool(verified(_with_centres(members, percent), held, percent))
     roots = spool(components(links))
     more = spool(_searched(members, held, roots, percent))
@@ -155,7 +193,7 @@ def _class_roots(docs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
 
 def _shared_buckets(chosen: DataFrame) -> DataFrame:
     """band, bucket, rep and n, of the buckets with more than one member, and their centre."""
-    rows = chosen.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
+    rows = chosen.select("rep", "n", "key_a", F.posexplode("bands").alias("band", "bucket"))
     centres = (
         rows.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("bucket", "rep").alias("_h"), "rep", "n")).alias("_c"))
@@ -176,18 +214,21 @@ def _with_centres(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b")).distinct()
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and shingles of the documents that are compared."""
+def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and shingles of the documents that are compared: of the rows of an id, those
+    whose set has the wanted key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in arrays.parts(batch):
-                found = [s.view(np.int64) for s in sets(part.column("text"))]
+                found = sets(part.column("text"))
+                same = np.array([_keys(s)[0] for s in found], dtype=np.int64) == part.column("key_a").to_numpy()
+                items = [s.view(np.int64) for s, take in zip(found, same, strict=True) if take]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "items"]
+                    [part.column("doc_id").filter(pa.array(same)), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "items"]
                 )
 
-    return _texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, items array<long>")
+    return _texts(docs).join(wanted, "doc_id").mapInArrow(run, "doc_id long, items array<long>")
 
 
 def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
@@ -281,14 +322,26 @@ def _links_between(table: pa.Table, percent: int) -> list[tuple[int, int]]:
 
 def keep(docs: DataFrame) -> DataFrame:
     """`docs` without the near duplicates of a document that stays; of repeated rows of
-    one id, one stays."""
-    found = groups(docs).filter("doc_id IS NOT NULL AND kept").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    found = spool(found)
+    one id, one with the set that stands for it stays."""
+    found = _grouped(docs, PERCENT).filter("doc_id IS NOT NULL AND kept")
+    found = spool(found.groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min("key_a").alias("key_a")))
     columns = docs.columns
-    kept = docs.join(found.select("doc_id", F.col("_rows").alias("__rows")), "doc_id", "left_semi").select(columns)
-    if not found.filter("_rows > 1").isEmpty():
-        repeated = found.filter("_rows > 1").select("doc_id")
+    kept = docs.join(found.select("doc_id"), "doc_id", "left_semi").select(columns)
+    repeated = found.filter("_rows > 1").select("doc_id", F.col("key_a").alias("__key_a"))
+    if not repeated.isEmpty():
         kept = kept.join(repeated, "doc_id", "left_anti").select(columns).unionByName(
-            kept.join(repeated, "doc_id", "left_semi").select(columns).dropDuplicates(["doc_id"])
+            _standing(docs.join(repeated, "doc_id").select(*columns, "__key_a"), docs).dropDuplicates(["doc_id"])
         )
     return kept.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def _standing(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of `rows` with a wanted __key_a, those whose set has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in arrays.parts(batch):
+                own = np.array([_keys(s)[0] for s in sets(part.column("text"))], dtype=np.int64)
+                yield part.filter(pa.array(own == part.column("__key_a").to_numpy())).drop_columns(["__key_a"])
+
+    return rows.mapInArrow(run, docs.schema)

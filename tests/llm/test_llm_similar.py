@@ -59,6 +59,27 @@ def test_groups_of_defined_cases(documents, nothing, texts):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(i for i in want if want[i] == i)
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_one_id_on_rows_of_different_texts_is_one_document(spark, swap):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in ("ba" if swap else "ab") + "c")
+    rows = [(5, a), (7, a), (3, b), (5, b), (5, None), (5, a), (5, ""), (9, None), (9, c), (11, c), (12, ""), (12, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_duplicates.groups(docs).collect()
+    assert len(got) == len(rows)
+    of = {}
+    for r in got:
+        of.setdefault(r["doc_id"], set()).add((r["n_shingles"], r["component_id"], r["kept"]))
+    assert all(len(v) == 1 for v in of.values())
+    assert of[9] == {(56, 9, True)} and of[11] == {(56, 9, False)} and of[12] == {(0, 12, True)}
+    # Id 5 stands for one of its texts, and is linked with the others of that text.
+    with_a = {3: {(56, 3, True)}, 5: {(56, 5, True)}, 7: {(56, 5, False)}}
+    with_b = {3: {(56, 3, True)}, 5: {(56, 3, False)}, 7: {(56, 7, True)}}
+    assert {i: of[i] for i in (3, 5, 7)} in (with_a, with_b)
+    kept = sorted((r["doc_id"], r["text"] or "") for r in near_duplicates.keep(docs).collect())
+    stays = [(3, b), (5, a)] if of[5] == with_a[5] else [(3, b), (7, a)]
+    assert kept == [*stays, (9, c), (12, "")]
+
+
 def test_large_group_of_near_copies_keeps_its_links(spark):
     """Copies each with its own changes; some are linked through others only."""
     rng = np.random.default_rng(4)
