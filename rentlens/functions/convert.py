@@ -10,7 +10,10 @@ EXACT = T.DecimalType(38, 18)
 
 
 def exact_type(dtype: T.DataType) -> T.DataType:
-    """The same type with every float, however deeply nested, an exact decimal."""
+    """The same type with every float, however deeply nested, an exact decimal; what was
+    never anything but null is text."""
+    if isinstance(dtype, T.NullType):
+        return T.StringType()
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return EXACT
     if isinstance(dtype, T.ArrayType):

@@ -12,6 +12,7 @@ from rentlens.registry import base, layers
 from rentlens.registry.base import query
 from rentlens.registry.layers import over, rounded
 from rentlens.registry.models import monthly
+from rentlens.sources import records
 from rentlens.sources.driver_tables import table
 
 KM, PRICE = "dist_to_archives_km", "price_ksh"
@@ -428,6 +429,46 @@ def f16(spark, folder):
     return exact.select("vec_id", total.alias("total"))
 
 
+ODD_RECORDS = """(SELECT event_id, user_id, event_type, value, props ->> '$.k' AS k,
+  CASE WHEN value = round(value) THEN CAST(CAST(value AS BIGINT) AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS v
+  FROM events)"""
+
+
+@query(
+    "f16_records_of_any_shape",
+    f"""SELECT event_id,
+      CASE event_type WHEN 'purchase' THEN value END AS price,
+      CASE event_type WHEN 'purchase' THEN CAST(CAST(value AS DECIMAL(18,4)) + 0.25 AS DOUBLE) END AS parts,
+      CASE event_type WHEN 'error' THEN user_id END AS code,
+      CAST(k AS BIGINT) AS k,
+      CASE event_type
+        WHEN 'purchase' THEN '{{"amount":{{"parts":[' || v || ',0.25],"price":' || v || '}},"props":{{"k":' || k || '}}}}'
+        WHEN 'error' THEN '{{"code":' || user_id || ',"props":{{"k":' || k || ',"note":null}}}}'
+        WHEN 'click' THEN NULL
+        ELSE '{{"props":{{"k":' || k || '}}}}' END AS stored
+      FROM {ODD_RECORDS} WHERE event_type <> 'click'""",
+)
+def f16_any(spark, folder):
+    """Events as records whose fields differ by their type, read without a schema. Clicks
+    are sent as lists, which are no records."""
+    value, props = F.col("value").cast("string"), F.col("props")
+    sent = (
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit('{"props":'), props, F.lit(',"amount":{"price":'), value, F.lit(',"parts":['), value, F.lit(",0.25]}}")))
+        .when(F.col("event_type") == "error", F.concat(F.lit('{"code":'), "user_id", F.lit(',"props":{"note":null,"k":'), F.get_json_object("props", "$.k"), F.lit("}}")))
+        .when(F.col("event_type") == "click", F.concat(F.lit("["), value, F.lit("]")))
+        .otherwise(F.concat(F.lit('{"props":'), props, F.lit("}")))
+    )
+    read = records.with_record(table(spark, folder, "events"), sent).filter("record IS NOT NULL")
+    both = read.withColumn("stored", records.stored_text())
+    parts = F.aggregate(
+        "record.amount.parts", F.lit(0).cast("decimal(38,4)"), lambda total, x: (total + x).cast("decimal(38,4)")
+    )
+    return records.typed(both).select(
+        "event_id", F.col("record.amount.price").alias("price"), parts.alias("parts"),
+        F.col("record.code").alias("code"), F.col("record.props.k").alias("k"), "stored",
+    )
+
+
 @query(
     "f17_expiry",
     "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) + 90 * 86400 AS expires_at FROM events",
