@@ -18,7 +18,7 @@ from rentlens.registry.layers import NEWEST, over
 from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
 from rentlens.schema import CANONICAL_COLUMNS, ENVELOPE, LANDED
 from rentlens.sources import tables
-from rentlens.streaming import ingest
+from rentlens.streaming import ingest, measures
 
 GOOD = f"(SELECT * FROM raw WHERE NOT ({ENVELOPE_BAD}))"
 
@@ -142,6 +142,37 @@ def a18(spark, folder):
     )
 
 
+@query(
+    "a18_measures_of_batches",
+    over(
+        "raw",
+        f"""SELECT (SELECT count(*) FROM {GOOD}) AS records_ok,
+              (SELECT count(*) FROM raw WHERE {ENVELOPE_BAD}) AS records_error,
+              (SELECT count(*) FROM {GOOD}) + (SELECT count(*) FROM raw WHERE {ENVELOPE_BAD}) AS input_rows,
+              0 AS skipped FROM (SELECT 1)""",
+    ),
+)
+def a18_measures(spark, folder):
+    """What a listener tells of the batches of a stream, by what the stream observes."""
+    path, at = scratch(spark, "measures"), scratch(spark, "archive")
+    seen = ingest.observed(delivered(spark, folder), "deliveries")
+    listener = measures.Measures(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        running = ingest.start_archive(seen, at, f"{at}-checkpoint", stamp=stamp())
+        finish(running)
+        listener.wait(str(running.runId))
+    finally:
+        spark.streams.removeListener(listener)
+    batches = measures.progress(spark, path)
+    return batches.agg(
+        measures.observed_total("deliveries", "records_ok").alias("records_ok"),
+        measures.observed_total("deliveries", "records_error").alias("records_error"),
+        F.sum("input_rows").alias("input_rows"),
+        (F.max("batch_id") - F.min("batch_id") + 1 - F.count("*")).alias("skipped"),
+    )
+
+
 @query(
     "st1_two_consumers",
     over(

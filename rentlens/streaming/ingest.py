@@ -96,6 +96,17 @@ def without_repeats(envelopes: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def observed(envelopes: DataFrame, name: str, payload: T.StructType = CANONICAL) -> DataFrame:
+    """`envelopes`, with the decodable and other records of each batch counted as `name`
+    in the progress of the query that reads them."""
+    known = envelope.decode(envelopes, payload).observe(
+        name,
+        F.count_if(F.col("record").isNotNull()).alias("records_ok"),
+        F.count_if(F.col("record").isNull()).alias("records_error"),
+    )
+    return known.drop("record")
+
+
 def start_archive(
     envelopes: DataFrame,
     path: str,
