@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: Fractions, Roman numerals and the like are word characters to a pattern, but no letters.
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_NUMBERS = {n: " " for n in range(0x110000) if chr(n).isnumeric() and not chr(n).isalpha()}
 RESULT = "doc_id long, lang_pred string, score double, accepted boolean"
 
 
@@ -77,7 +77,11 @@ class Model:
 
 def plain(text: str | None) -> str:
     """The words of a text in lower case, one space between them."""
-    return " ".join(_LETTERS.findall((text or "").lower()))
+    lower = (text or "").lower()
+    words = _LETTERS.findall(lower)
+    if not "".join(words).isalpha():
+        words = _LETTERS.findall(lower.translate(_NUMBERS))
+    return " ".join(words)
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
