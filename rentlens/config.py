@@ -39,6 +39,9 @@ class Settings:
     expiry_days: int = 90
     # Commits of the history table beyond which old ones are folded into one.
     history_commits: int = 20
+    # Held deliveries are written when they have this size or this age.
+    buffer_bytes: int = 128 << 20
+    buffer_seconds: int = 600
     recency_hours: int = 26
     warn_hours: int = 25
     error_hours: int = 49

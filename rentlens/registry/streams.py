@@ -18,7 +18,7 @@ from rentlens.registry.layers import NEWEST, over
 from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
 from rentlens.schema import CANONICAL_COLUMNS, ENVELOPE, LANDED
 from rentlens.sources import tables
-from rentlens.streaming import ingest, measures
+from rentlens.streaming import buffered, ingest, measures
 
 GOOD = f"(SELECT * FROM raw WHERE NOT ({ENVELOPE_BAD}))"
 
@@ -283,6 +283,20 @@ def st6(spark, folder):
     return tables.read_archive(spark, archive).select("property_id", "price_ksh", "_seq")
 
 
+@query(
+    "st6_held_until_large",
+    over("raw", f"SELECT property_id, price_ksh, CAST(arrival_seq AS VARCHAR) AS _seq FROM {GOOD}"),
+)
+def st6_held(spark, folder):
+    """Batches with a restart between them, held until they make large files; what waits
+    at the end is drained."""
+    archive, marks = scratch(spark, "archive"), scratch(spark, "checkpoints")
+    for stream in in_turns(spark, envelopes(spark, folder), (0, 1, 2)):
+        finish(buffered.start_buffered(stream, archive, marks, stamp=stamp()))
+    buffered.drain(spark, archive)
+    return tables.read_archive(spark, archive).select("property_id", "price_ksh", "_seq")
+
+
 # Requests that are no JSON, no base64, or lack the price; and records spoilt on the way.
 NO_JSON, NO_BASE64 = "arrival_seq % 97 = 5", "arrival_seq % 2 = 0 AND arrival_seq % 101 = 7"
 NO_PRICE, SPOILT = "arrival_seq % 89 = 3", "arrival_seq % 103 = 9"

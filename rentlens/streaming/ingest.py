@@ -155,20 +155,20 @@ def start_dead_letters(
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, place = _at(spark, path)
+    fs, place = located(spark, path)
     fs.delete(place, True)
 
 
 def move(spark: SparkSession, path: str, to: str) -> None:
     """Put a folder where another one may stand, of an earlier try at the same batch."""
-    (fs, source), (_, target) = _at(spark, path), _at(spark, to)
+    (fs, source), (_, target) = located(spark, path), located(spark, to)
     fs.delete(target, True)
     fs.mkdirs(target.getParent())
     if not fs.rename(source, target):
         raise OSError(f"{path} could not be moved to {to}")
 
 
-def _at(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(context._jsc.hadoopConfiguration()), place
