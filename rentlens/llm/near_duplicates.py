@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.llm import arrays
+from rentlens.llm import arrays, bitmaps
 from rentlens.llm.components import components
 from rentlens.operators.spool import spool
 
@@ -50,6 +50,7 @@ CENTRED = 6
 #: Members of a bucket, and shingles they have, in one block of the search, about.
 BLOCK_ROWS = 512
 BLOCK_ITEMS = 500_000
+BLOCK = "bucket long, band int, rep long, n long, root long, i int, j int, own int"
 SKETCHED = "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>"
 
 
@@ -183,7 +184,7 @@ def _once(rows: DataFrame, repeated: DataFrame, column: str) -> DataFrame:
 def _class_roots(docs: DataFrame, repeated: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     """node and root of every class that is linked with another."""
     members = spool(_shared_buckets(chosen))
-    wanted = members.select(F.col("rep").alias("doc_id"), "key_a").distinct()
+    wanted = spool(members.select(F.col("rep").alias("doc_id"), "key_a").distinct())
     held = spool(_once(_full_sets(docs, wanted), repeated, "doc_id"))
     links = spool(verified(_with_centres(members, percent), held, percent))
     roots = spool(components(links))
@@ -216,7 +217,7 @@ def _with_centres(members: DataFrame, percent: int) -> DataFrame:
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id and shingles of the documents that are compared: of the rows of an id, those
-    whose set has the wanted key."""
+    whose set has the wanted key. Other texts are not shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +229,8 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [part.column("doc_id").filter(pa.array(same)), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "items"]
                 )
 
-    return _texts(docs).join(wanted, "doc_id").mapInArrow(run, "doc_id long, items array<long>")
+    rows = _texts(docs).filter(bitmaps.may_hold(wanted))
+    return rows.join(wanted, "doc_id").mapInArrow(run, "doc_id long, items array<long>")
 
 
 def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
@@ -244,8 +246,9 @@ def _searched(members: DataFrame, held: DataFrame, roots: DataFrame, percent: in
     """Verified links (a, b) between members of one bucket that are not connected yet.
 
     Buckets are dealt into blocks of bounded size, and each two blocks of a bucket meet in
-    one task. Sizes and sketches rule out most pairs; the full sets decide on the others,
-    and of the links found there, those that connect what was not connected are returned.
+    one task. Sizes and sketches rule out most pairs, before a set is sent to a block; the
+    full sets decide on the others, and of the links found there, those that connect what
+    was not connected are returned.
     """
     rows = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ITEMS)).cast("int")
@@ -266,16 +269,30 @@ def _searched(members: DataFrame, held: DataFrame, roots: DataFrame, percent: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [sketch(x).tobytes() if len(x) else None for x in _lists(batch.column("items"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary()), batch.column("items")], ["rep", "sketch", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], ["rep", "sketch"])
 
     wanted = rows.select(F.col("rep").alias("doc_id")).distinct()
-    sketches = held.join(wanted, "doc_id", "left_semi").mapInArrow(run, "rep long, sketch binary, items array<long>")
+    sketches = spool(held.join(wanted, "doc_id", "left_semi").mapInArrow(run, "rep long, sketch binary"))
+
+    def fit(table: pa.Table) -> pa.Table:
+        block = _Block(table, percent)
+        lone = np.ones(len(block.rep), dtype=bool)
+        for x in range(1, len(lone)):
+            at = block.candidates(x)[0]
+            lone[at] = False
+            lone[x] &= not len(at)
+        kept = ["bucket", "band", "rep", "n", "root", "i", "j", "own", "sketch"]
+        return table.select(kept).filter(pa.array(~lone))
+
+    # Sketches meet first: the sets, which are much larger, only of those that have a partner.
+    fitting = spool(spread.join(sketches, "rep").groupBy("bucket", "i", "j").applyInArrow(fit, f"{BLOCK}, sketch binary"))
 
     def compare(table: pa.Table) -> pa.Table:
         links = np.array(_links_between(table, percent), dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
-    return spread.join(sketches, "rep").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    items = held.select(F.col("doc_id").alias("rep"), "items")
+    return fitting.join(items, "rep").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -283,12 +300,36 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [x.values.to_numpy().view(np.uint64) if x.is_valid else np.zeros(0, dtype=np.uint64) for x in column]
 
 
+class _Block:
+    """Members of one bucket, and which of them their sizes and sketches rule out."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.rep, self.n, self.root, self.own = (table.column(c).to_numpy() for c in ("rep", "n", "root", "own"))
+        self.values = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(-1, BINS)
+        self.within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        self.band = table.column("band")[0].as_py()
+        self.percent = percent
+
+    def candidates(self, x: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members before x that can be similar to it, and in how many bins they agree."""
+        n, root = self.n, self.root
+        fit = root[:x] != root[x]
+        fit &= np.minimum(n[:x], n[x]) * 100 >= np.maximum(n[:x], n[x]) * self.percent
+        if not self.within:
+            fit &= self.own[:x] != self.own[x]
+        at = np.flatnonzero(fit)
+        same = self.values[at] == self.values[x]
+        agreeing = same.sum(axis=1)
+        # A pair is looked at in the first band that it shares.
+        first = same.reshape(len(at), BINS // BAND, BAND).all(axis=2).argmax(axis=1)
+        take = (agreeing >= LEAST_AGREEING) & (first == self.band)
+        return at[take], agreeing[take]
+
+
 def _links_between(table: pa.Table, percent: int) -> list[tuple[int, int]]:
-    rep, n, root, own = (table.column(c).to_numpy() for c in ("rep", "n", "root", "own"))
-    values = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(-1, BINS)
+    block = _Block(table, percent)
+    rep, root = block.rep, block.root
     items = _lists(table.column("items").combine_chunks())
-    within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-    band = table.column("band")[0].as_py()
     joined = {r: r for r in root.tolist()}
 
     def find(r: int) -> int:
@@ -299,17 +340,8 @@ def _links_between(table: pa.Table, percent: int) -> list[tuple[int, int]]:
 
     links = []
     for x in range(1, len(rep)):
-        fit = root[:x] != root[x]
-        fit &= np.minimum(n[:x], n[x]) * 100 >= np.maximum(n[:x], n[x]) * percent
-        if not within:
-            fit &= own[:x] != own[x]
-        at = np.flatnonzero(fit)
-        same = values[at] == values[x]
-        agreeing = same.sum(axis=1)
-        # A pair is looked at in the first band that it shares.
-        first = same.reshape(len(at), BINS // BAND, BAND).all(axis=2).argmax(axis=1)
-        take = np.flatnonzero((agreeing >= LEAST_AGREEING) & (first == band))
-        for y in at[take[np.argsort(-agreeing[take], kind="stable")]].tolist():
+        at, agreeing = block.candidates(x)
+        for y in at[np.argsort(-agreeing, kind="stable")].tolist():
             r, t = find(int(root[x])), find(int(root[y]))
             if r == t:
                 continue
@@ -323,16 +355,21 @@ def _links_between(table: pa.Table, percent: int) -> list[tuple[int, int]]:
 def keep(docs: DataFrame) -> DataFrame:
     """`docs` without the near duplicates of a document that stays; of repeated rows of
     one id, one with the set that stands for it stays."""
-    found = _grouped(docs, PERCENT).filter("doc_id IS NOT NULL AND kept")
-    found = spool(found.groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min("key_a").alias("key_a")))
+    found = spool(_grouped(docs, PERCENT).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("_rows"), F.min("key_a").alias("key_a"), F.first("kept").alias("kept")
+    ))
+    # All rows of an id are kept or none, so most texts need no join.
+    judged = spool(found.filter("NOT kept OR _rows > 1"))
+    looked_up = bitmaps.may_hold(judged)
     columns = docs.columns
-    kept = docs.join(found.select("doc_id"), "doc_id", "left_semi").select(columns)
-    repeated = found.filter("_rows > 1").select("doc_id", F.col("key_a").alias("__key_a"))
+    kept = docs.filter(~looked_up).unionByName(
+        docs.filter(looked_up).join(judged.select("doc_id"), "doc_id", "left_anti").select(columns)
+    )
+    repeated = judged.filter("kept").select("doc_id", F.col("key_a").alias("__key_a"))
     if not repeated.isEmpty():
-        kept = kept.join(repeated, "doc_id", "left_anti").select(columns).unionByName(
-            _standing(docs.join(repeated, "doc_id").select(*columns, "__key_a"), docs).dropDuplicates(["doc_id"])
-        )
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+        held = docs.filter(bitmaps.may_hold(repeated)).join(repeated, "doc_id")
+        kept = kept.unionByName(_standing(held.select(*columns, "__key_a"), docs).dropDuplicates(["doc_id"]))
+    return kept
 
 
 def _standing(rows: DataFrame, docs: DataFrame) -> DataFrame:

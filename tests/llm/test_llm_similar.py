@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import rows_of
-from rentlens.llm import components, decontaminate, near_duplicates, nearest, passages, queries
+from rentlens.llm import bitmaps, components, decontaminate, near_duplicates, nearest, passages, queries
 
 SMALL = "/root/testdata/sf0.001"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -95,6 +95,21 @@ def test_large_group_of_near_copies_keeps_its_links(spark):
     assert got == grouped({i: shingle_set(t) for i, t in rows})
 
 
+def test_texts_that_need_no_join_are_not_shuffled(spark):
+    rows = [(i, " ".join(f"y{i}_{j}" for j in range(30))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(20)] + [(None, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 1020, 51)], "doc_id long")
+    held = {r["doc_id"] for r in docs.filter(bitmaps.may_hold(ids)).select("doc_id").collect()}
+    wanted = {r["doc_id"] for r in ids.collect()} & {i for i, _ in rows}
+    assert wanted <= held and None not in held and len(held) <= len(wanted) + 3
+    kept = near_duplicates.keep(docs)
+    assert sorted(kept.collect(), key=str) == sorted(rows[:300] + rows[-1:], key=str)
+    union = kept._jdf.queryExecution().optimizedPlan()
+    most_rows = union.children().apply(0).toString()
+    assert union.nodeName() == "Union" and "Join" not in most_rows and "Aggregate" not in most_rows
+
+
 def test_small_table_against_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in queries.table(spark, SMALL, "documents").collect()}
     sets = {i: shingle_set(t) for i, t in texts.items()}
