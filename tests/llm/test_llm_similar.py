@@ -151,6 +151,16 @@ def test_passages_of_defined_cases(documents, nothing):
     assert passages.repeated(nothing).count() == 0
 
 
+def test_passages_are_cut_out_of_their_own_texts_only(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"y{i}_{j}" for j in range(30))) for i in range(200)], "doc_id long, text string")
+    ends = spark.createDataFrame([(1, i, 0, 2, 9) for i in (3, 150)], "pair long, doc_id long, side int, low int, high int")
+    cuts = passages._cut(docs, ends)
+    tokens = {i: np.frombuffer(c, np.uint32) for i, c in ((r["doc_id"], r["cut"]) for r in cuts.collect())}
+    assert set(tokens) == {3, 150} and all(len(t) == 8 for t in tokens.values())
+    # Texts pass the bitmap of ids before they meet the cuts.
+    assert "getbit" in cuts._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_passages_miss_no_exact_repeat(spark):
     texts = {r["doc_id"]: re.findall(WORD, lower(r["text"])) for r in queries.table(spark, SMALL, "documents").collect()}
     seen: dict[tuple, set] = {}
