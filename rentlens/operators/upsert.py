@@ -82,7 +82,7 @@ class KeyedTable:
     def stage(self, rows: DataFrame) -> str:
         """Write rows that readers do not see yet, so they can be checked first."""
         attempt = uuid.uuid4().hex
-        rows.select(self.schema.fieldNames()).write.parquet(self._folder(attempt))
+        rows.select(self.schema.fieldNames()).write.option("compression", "zstd").parquet(self._folder(attempt))
         return attempt
 
     def staged(self, attempt: str) -> DataFrame:

@@ -17,17 +17,28 @@ from rentlens.registry.base import query
 from rentlens.registry.layers import NEWEST, over
 from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
 from rentlens.schema import CANONICAL_COLUMNS, ENVELOPE, LANDED
+from rentlens.session import shuffles_released
 from rentlens.sources import tables
 from rentlens.streaming import buffered, ingest, measures
 
 GOOD = f"(SELECT * FROM raw WHERE NOT ({ENVELOPE_BAD}))"
 
 
+#: Rows of one file: compressed files are not split, so a large one would be a long task.
+FILE_ROWS = 200_000
+
+
+def stored(spark, rows: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
+    """Envelopes added to a folder, as compressed files of bounded size."""
+    with shuffles_released(spark):
+        rows.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", file_rows).json(path)
+    return path
+
+
 def delivered(spark, folder, repeats: bool = False) -> DataFrame:
     """The envelope stream; with `repeats`, some deliveries come twice."""
-    path = scratch(spark, "envelopes")
     rows = envelopes(spark, folder)
-    (with_repeats(rows) if repeats else rows).write.json(path)
+    path = stored(spark, with_repeats(rows) if repeats else rows, scratch(spark, "envelopes"))
     return ingest.envelope_stream(spark, path)
 
 
@@ -39,12 +50,13 @@ def with_repeats(rows: DataFrame) -> DataFrame:
 
 def in_turns(spark, rows: DataFrame, turns) -> Iterator[DataFrame]:
     """The stream of one folder to which thirds of the deliveries, by sequence number, are
-    added one after the other, many files at once."""
+    added one after the other, many files at once. It goes after the last turn."""
     path, seq = scratch(spark, "turns"), F.col("seq").cast("long")
-    third = F.floor(seq / rows.agg(F.max(seq) / 3 + 1).first()[0])
+    with shuffles_released(spark):
+        third = F.floor(seq / rows.agg(F.max(seq) / 3 + 1).first()[0])
     for i in turns:
-        rows.filter(third == i).write.mode("append").json(path)
-        yield ingest.envelope_stream(spark, path)
+        yield ingest.envelope_stream(spark, stored(spark, rows.filter(third == i), path))
+    ingest.delete(spark, path)
 
 
 def finish(*running) -> None:
@@ -262,8 +274,9 @@ def st5(spark, folder):
     """The files stored by two queries, each with a checkpoint and a split into batches
     of its own: batch numbers start anew, and no rows are lost."""
     path, marks = scratch(spark, "history"), scratch(spark, "checkpoints")
-    stream = delivered(spark, folder, repeats=True)
-    finish(ingest.start_history(stream, path, f"{marks}/whole", asof=stamp()))
+    whole = stored(spark, with_repeats(envelopes(spark, folder)), scratch(spark, "envelopes"))
+    finish(ingest.start_history(ingest.envelope_stream(spark, whole), path, f"{marks}/whole", asof=stamp()))
+    ingest.delete(spark, whole)
     for part in in_turns(spark, with_repeats(envelopes(spark, folder)), (0, 1, 2)):
         finish(ingest.start_history(part, path, f"{marks}/parts", asof=stamp()))
     return ingest.history_table(spark, path).read().select(HISTORY_COLUMNS)

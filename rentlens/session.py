@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -52,6 +55,18 @@ def require_shared(spark: SparkSession) -> None:
     place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each query that runs inside go when it ends, and not when the
+    driver happens to collect its garbage. For queries that run once."""
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before)
+
+
 def build(app_name: str = "rentlens", cores: int | None = None) -> SparkSession:
     """A local session for tests and the benchmark."""
     return prepare(

@@ -51,8 +51,9 @@ def with_record(df: DataFrame, text: Column, schema: T.StructType = CANONICAL) -
         *[F.col(f"_parsed.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
     decodable = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt").isNull()
+    # Exploding one element keeps the planner from parsing the text anew for each use.
     return (
-        df.withColumn("_parsed", F.from_json(text, as_text, options))
+        df.withColumn("_parsed", F.explode(F.array(F.from_json(text, as_text, options))))
         .withColumn("record", F.when(decodable, typed))
         .drop("_parsed")
     )

@@ -25,6 +25,7 @@ from rentlens.operators.filters import split_required
 from rentlens.operators.upsert import KeyedTable
 from rentlens.plans.canonical import iso_utc
 from rentlens.schema import CANONICAL, CANONICAL_COLUMNS, ENVELOPE
+from rentlens.session import shuffles_released
 from rentlens.sources import envelope
 from rentlens.sources.tables import ARCHIVE_PARTITIONS, archive_schema
 
@@ -267,7 +268,9 @@ def start_batches(
     def keyed(batch: DataFrame, batch_id: int) -> None:
         if not names:
             names.append(batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"])
-        store(batch, batch_id, names[0])
+        # The batch has a session of its own, so no other query is touched.
+        with shuffles_released(batch.sparkSession):
+            store(batch, batch_id, names[0])
 
     return (
         stream.writeStream.foreachBatch(keyed)
