@@ -339,9 +339,9 @@ def whole_flow(spark, folder) -> dict[str, str]:
     the landed table. Returns where each sink lies."""
     sent, _ = ingest.received(requests(spark, folder), stamp())
     spoilt = F.expr(SPOILT.replace("arrival_seq", "CAST(seq AS BIGINT)"))
-    stored = scratch(spark, "envelopes")
-    with_repeats(sent.withColumn("data", F.when(spoilt, F.lit("%%")).otherwise(F.col("data")))).write.json(stored)
-    stream = ingest.envelope_stream(spark, stored)
+    rows = with_repeats(sent.withColumn("data", F.when(spoilt, F.lit("%%")).otherwise(F.col("data"))))
+    path = stored(spark, rows, scratch(spark, "envelopes"))
+    stream = ingest.envelope_stream(spark, path)
     at = {name: scratch(spark, name) for name in ("archive", "landed", "history", "letters")}
     marks = scratch(spark, "checkpoints")
     finish(
@@ -349,6 +349,7 @@ def whole_flow(spark, folder) -> dict[str, str]:
         ingest.start_history(stream, at["history"], f"{marks}/h", asof=stamp()),
         ingest.start_dead_letters(stream, at["letters"], f"{marks}/d"),
     )
+    ingest.delete(spark, path)
     finish(ingest.start_landing(spark, at["archive"], at["landed"], f"{marks}/l"))
     return at
 

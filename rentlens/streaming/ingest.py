@@ -115,12 +115,13 @@ def start_archive(
     payload: T.StructType = CANONICAL,
     stamp: Column | None = None,
 ) -> StreamingQuery:
-    """Valid records as NDJSON by hour of processing time."""
+    """Valid records as compressed NDJSON by hour of processing time."""
     rows = envelope.valid_rows(envelope.decode(envelopes, payload))
     when = stamp if stamp is not None else now_utc()
     return (
         rows.withColumns(archive_partitions(when))
         .writeStream.format("json")
+        .option("compression", "gzip")
         .partitionBy(*ARCHIVE_PARTITIONS)
         .option("path", path)
         .option("checkpointLocation", checkpoint)

@@ -13,7 +13,7 @@ from rentlens.operators.spool import spool_folder
 from rentlens.registry import streams
 from rentlens.schema import ENVELOPE
 from rentlens.session import RELEASE, shuffles_released
-from rentlens.sources import envelope
+from rentlens.sources import envelope, tables
 from rentlens.streaming import ingest
 
 
@@ -37,6 +37,17 @@ def shuffle_files(spark):
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().endswith(".data")}
 
 
+def test_archive_is_compressed(spark, tmp_path):
+    source, archive = inbox(tmp_path / "in"), str(tmp_path / "archive")
+    query = ingest.start_archive(ingest.envelope_stream(spark, source), archive, str(tmp_path / "c"), stamp=stamp())
+    query.awaitTermination()
+    files = list(Path(archive).rglob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) * 4 < (tmp_path / "in" / "1.json").stat().st_size
+    rows = tables.read_archive(spark, archive)
+    assert rows.count() == 2000 and rows.agg(F.sum("price_ksh")).first()[0] == sum(range(2000))
+
+
 def test_batches_release_their_shuffles(spark, tmp_path):
     stream = ingest.envelope_stream(spark, inbox(tmp_path / "in"))
     before = shuffle_files(spark)
@@ -93,3 +104,6 @@ def test_read_envelopes_go(spark, tmp_path):
     rows = streams.st5(spark, folder)
     assert not (kept(spark, "envelopes") | kept(spark, "turns")) - before
     assert rows.count() == len({(i % 30, "junk" if i % 211 == 0 else i) for i in good})
+    at = streams.whole_flow(spark, folder)
+    assert not kept(spark, "envelopes") - before
+    assert spark.read.parquet(at["landed"]).count() > 0
