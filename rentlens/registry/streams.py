@@ -6,6 +6,7 @@ the streaming job over them to the end, and returns what its sink holds.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ from rentlens.registry.layers import NEWEST, over
 from rentlens.registry.sources import CANON_SQL, ENVELOPE_BAD, envelopes, scratch
 from rentlens.schema import CANONICAL_COLUMNS, ENVELOPE, LANDED
 from rentlens.session import shuffles_released
-from rentlens.sources import tables
+from rentlens.sources import driver_tables, tables
 from rentlens.streaming import buffered, ingest, measures
 
 GOOD = f"(SELECT * FROM raw WHERE NOT ({ENVELOPE_BAD}))"
@@ -287,10 +288,12 @@ def st5(spark, folder):
     over("raw", f"SELECT property_id, price_ksh, CAST(arrival_seq AS VARCHAR) AS _seq FROM {GOOD}"),
 )
 def st6(spark, folder):
-    """Several micro-batches of a few files each, buffered to the archive."""
-    path = scratch(spark, "envelopes")
-    envelopes(spark, folder).repartition(6).write.json(path)
-    stream = ingest.envelope_stream(spark, path, files_per_batch=2)
+    """Several micro-batches of a few files each, buffered to the archive. Files are cut by
+    their rows, so no envelope is shuffled; six at least, and a third of them in a batch."""
+    rows, n = envelopes(spark, folder), driver_tables.table(spark, folder, "orders").count()
+    path = stored(spark, rows, scratch(spark, "envelopes"), min(FILE_ROWS, max(1, math.ceil(n / 6))))
+    files = len(spark.read.schema(ENVELOPE).json(path).inputFiles())
+    stream = ingest.envelope_stream(spark, path, files_per_batch=max(2, files // 3))
     archive, marks = scratch(spark, "archive"), scratch(spark, "checkpoints")
     finish(ingest.start_archive(stream, archive, marks, stamp=stamp()))
     return tables.read_archive(spark, archive).select("property_id", "price_ksh", "_seq")

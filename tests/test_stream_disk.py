@@ -107,3 +107,13 @@ def test_read_envelopes_go(spark, tmp_path):
     at = streams.whole_flow(spark, folder)
     assert not kept(spark, "envelopes") - before
     assert spark.read.parquet(at["landed"]).count() > 0
+
+
+def test_small_batches_without_a_shuffle_of_envelopes(spark, tmp_path):
+    folder = deliveries(spark, tmp_path)
+    before, marks = kept(spark, "envelopes"), kept(spark, "checkpoints")
+    assert streams.st6(spark, folder).count() == len([i for i in range(200) if i % 97 != 5 and i % 101 != 7])
+    (path,) = kept(spark, "envelopes") - before
+    assert len(list(path.glob("part-*.json.gz"))) >= 6
+    (mark,) = kept(spark, "checkpoints") - marks
+    assert len([p for p in (mark / "commits").iterdir() if p.name.isdigit()]) >= 3
