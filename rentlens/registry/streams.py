@@ -196,13 +196,15 @@ def a18_measures(spark, folder):
 )
 def st1(spark, folder):
     """Two queries over one stream, each with its own checkpoint."""
-    stream = delivered(spark, folder)
+    path = stored(spark, envelopes(spark, folder), scratch(spark, "envelopes"))
+    stream = ingest.envelope_stream(spark, path)
     archive, history = scratch(spark, "archive"), scratch(spark, "history")
     marks = scratch(spark, "checkpoints")
     finish(
         ingest.start_archive(stream, archive, f"{marks}/a", stamp=stamp()),
         ingest.start_history(stream, history, f"{marks}/h", asof=stamp()),
     )
+    ingest.delete(spark, path)
     counts = {
         "archive": tables.read_archive(spark, archive),
         "history": ingest.history_table(spark, history).read(),

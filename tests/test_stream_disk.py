@@ -117,3 +117,13 @@ def test_small_batches_without_a_shuffle_of_envelopes(spark, tmp_path):
     assert len(list(path.glob("part-*.json.gz"))) >= 6
     (mark,) = kept(spark, "checkpoints") - marks
     assert len([p for p in (mark / "commits").iterdir() if p.name.isdigit()]) >= 3
+
+
+def test_two_consumers_leave_no_envelopes(spark, tmp_path):
+    folder = deliveries(spark, tmp_path)
+    before, archives = kept(spark, "envelopes"), kept(spark, "archive")
+    counts = {r["consumer"]: r["n"] for r in streams.st1(spark, folder).collect()}
+    assert counts["archive"] == counts["history"] == len([i for i in range(200) if i % 97 != 5 and i % 101 != 7])
+    assert not kept(spark, "envelopes") - before
+    (archive,) = kept(spark, "archive") - archives
+    assert all(f.name.endswith(".gz") for f in archive.rglob("part-*"))
